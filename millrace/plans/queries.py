@@ -266,7 +266,9 @@ def item_documents_stream(spark, folder):
     """Item changes as envelopes: the row sits in ``before`` for a delete, else in ``after``."""
     base = scratch_dir(spark, "items")
     store = Store(spark, f"{base}/store")
-    row = F.struct("id", "name", "category", F.col("price").cast("string"), "inventory")
+    row = F.struct(
+        "id", "name", "category", F.col("price").cast("string").alias("price"), "inventory"
+    )
     gone = F.col("__op") == "d"
     shop.item_changes(spark, folder).select(
         F.to_json(

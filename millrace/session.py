@@ -8,11 +8,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """UTC timestamps and run-time plan changes (join choice by measured size, skew splits)."""
+    """UTC timestamps, run-time plan changes (join choice by measured size, skew splits) and
+    stream state on disk instead of in the heap."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
     return spark
 
 

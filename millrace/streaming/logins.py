@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions import times
 from millrace.operators.logins import REASON, enrich_logins
@@ -28,6 +28,67 @@ def ingest_logins(store: Store, logins: DataFrame, geo: DataFrame, checkpoint: s
     )
 
 
+class NewCountry(StatefulProcessor):
+    """Per (user, country): the instants of the last gap and the newest one before them.
+
+    That is all a later login can be compared with. A key is forgotten once ``reach`` has passed
+    since its last login. Times are microseconds.
+    """
+
+    def __init__(self, gap: int, reach: int):
+        self.gap = gap
+        self.reach = reach
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.recent = handle.getValueState("recent", "instants ARRAY<BIGINT>")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        user, country = key
+        arrived = np.concatenate([part["timestamp"].to_numpy("datetime64[us]") for part in rows])
+        stamps = np.sort(arrived.astype(np.int64))
+        if user is None or country is None:
+            fires = np.ones(len(stamps), dtype=bool)
+        else:
+            fires = self.judge(stamps)
+        yield pd.DataFrame(
+            {
+                "user_id": user,
+                "timestamp": stamps[fires].astype("datetime64[us]"),
+                "reason": REASON,
+                "country": country,
+            }
+        )
+
+    def judge(self, stamps: np.ndarray) -> np.ndarray:
+        """Which instants fire; remembers what later ones need."""
+        known = self.recent.get()[0] if self.recent.exists() else []
+        if not known:
+            self.watch(stamps[-1])
+        history = np.concatenate([np.array(known, dtype=np.int64), stamps])
+        place = np.searchsorted(history, stamps - self.gap, side="right") - 1
+        fires = (place < 0) | (history[np.maximum(place, 0)] < stamps - self.reach)
+        first = np.searchsorted(history, history[-1] - self.gap, side="right") - 1
+        self.recent.update(([int(x) for x in history[max(int(first), 0) :]],))
+        return fires
+
+    def watch(self, last: int) -> None:
+        self.handle.registerTimer(int(last + self.reach + self.gap) // 1000 + 1)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        """One timer per key: forget it, or look again when its newer logins have aged too."""
+        if self.recent.exists():
+            last = self.recent.get()[0][-1]
+            if last + self.reach < timerValues.getCurrentWatermarkInMs() * 1000:
+                self.recent.clear()
+            else:
+                self.watch(last)
+        return iter(())
+
+    def close(self) -> None:
+        pass
+
+
 def anomaly_stream(
     enriched: DataFrame,
     lookback: str = "7 days",
@@ -38,56 +99,20 @@ def anomaly_stream(
 
     First the logins of one user, country and instant become one row, combined map-side and held
     until the watermark passes them; this puts them in order, removes late ones (W-7) and bounds
-    what a hot user can send on by time rather than by traffic. Then each (user, country) keeps
-    only the instants of its last ``min_gap`` and the newest one before: no joined pairs, and
-    state of constant size per key that expires after ``lookback``.
+    what a hot user can send on by time rather than by traffic. Then ``NewCountry`` compares them
+    with a small state per key: no joined pairs.
     """
     spark = enriched.sparkSession
-    gap = times.interval_micros(spark, min_gap)
-    reach = times.interval_micros(spark, lookback)
-
     instants = (
         enriched.withWatermark("timestamp", delay)
         .groupBy("user_id", "country", "timestamp")
         .agg(F.count(F.lit(1)).alias("logins"))
     )
-
-    def judge(
-        key: tuple, batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        user, country = key
-        if state.hasTimedOut:
-            state.remove()
-            return
-        arrived = pd.concat([batch["timestamp"] for batch in batches], ignore_index=True)
-        stamps = np.sort(arrived.to_numpy(dtype="datetime64[us]").astype(np.int64))
-        if user is None or country is None:
-            fires = np.ones(len(stamps), dtype=bool)
-        else:
-            known = np.array(state.get[0] if state.exists else [], dtype=np.int64)
-            history = np.concatenate([known, stamps])
-            place = np.searchsorted(history, stamps - gap, side="right") - 1
-            fires = (place < 0) | (history[np.maximum(place, 0)] < stamps - reach)
-            # Later logins can only need the newest instant that is a gap old, and those after it.
-            first = max(int(np.searchsorted(history, history[-1] - gap, side="right")) - 1, 0)
-            state.update(([int(x) for x in history[first:]],))
-            expiry = int(history[-1] + reach) // 1000 + 1000
-            state.setTimeoutTimestamp(max(expiry, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(
-            {
-                "user_id": user,
-                "timestamp": pd.Series(stamps[fires].astype("datetime64[us]")),
-                "reason": REASON,
-                "country": country,
-            }
-        )
-
-    return instants.groupBy("user_id", "country").applyInPandasWithState(
-        judge,
+    return instants.groupBy("user_id", "country").transformWithStateInPandas(
+        NewCountry(times.interval_micros(spark, min_gap), times.interval_micros(spark, lookback)),
         "user_id STRING, timestamp TIMESTAMP, reason STRING, country STRING",
-        "recent ARRAY<BIGINT>",
         "append",
-        GroupStateTimeout.EventTimeTimeout,
+        "EventTime",
     )
 
 

@@ -28,6 +28,8 @@ def cell(value):
         return "nan" if math.isnan(value) else round(value, 9)
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
+    if isinstance(value, list):
+        return tuple(cell(v) for v in value)
     return value
 
 
