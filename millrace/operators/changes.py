@@ -13,17 +13,17 @@ from millrace.schemas import PURCHASE_CHANGE
 TOPIC_PATTERN = r"^dbz.public.(.*)$"
 
 
-def decode_changes(messages: DataFrame, schema: StructType = PURCHASE_CHANGE) -> DataFrame:
+def decode_changes(messages: DataFrame, schema: str = PURCHASE_CHANGE) -> DataFrame:
     """SRC-3: JSON text in ``value`` becomes the columns of ``schema`` plus ``_error`` and
     ``_raw_message``; ``_error`` is '' for a readable message. Empty payloads are dropped."""
-    target = StructType(list(schema)).add("_corrupt", "string")
-    row = F.from_json("value", target, {"columnNameOfCorruptRecord": "_corrupt"})
+    options = {"columnNameOfCorruptRecord": "_corrupt"}
+    row = F.from_json("value", f"{schema}, _corrupt STRING", options)
     bad = F.col("_row._corrupt").isNotNull() | F.col("_row.id").isNull()
     return (
         messages.filter(F.col("value").isNotNull())
         .select("value", row.alias("_row"))
         .select(
-            *[F.col(f"_row.{name}").alias(name) for name in schema.names],
+            *[F.col(f"_row.{name}").alias(name) for name in StructType.fromDDL(schema).names],
             F.when(bad, F.lit("decode error")).otherwise(F.lit("")).alias("_error"),
             F.when(bad, F.col("value")).otherwise(F.lit("")).alias("_raw_message"),
         )

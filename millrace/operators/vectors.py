@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.encoders import Encoder, hashing_encoder
 
 BATCH = 100  # fixed value: texts per encoder call
+MOST_NEIGHBOURS = 100_000  # winners are broadcast; this many ids stay below a few megabytes
 
 
 def embed(make_encoder: Callable[[], Encoder] = hashing_encoder) -> Callable[[Column], Column]:
@@ -30,16 +31,25 @@ def embed(make_encoder: Callable[[], Encoder] = hashing_encoder) -> Callable[[Co
     return run
 
 
+def without_embedding(reviews: DataFrame, embeddings: DataFrame | None = None) -> DataFrame:
+    """P-21: (review_id, review) of the reviews that have no embedding, here or in the table of
+    embeddings made earlier. Only ids meet in the join."""
+    todo = reviews.filter(F.col("review_embedding").isNull()).select("review_id", "review")
+    if embeddings is None:
+        return todo
+    return todo.join(embeddings.select("review_id"), "review_id", "left_anti")
+
+
 def new_embeddings(
-    reviews: DataFrame, make_encoder: Callable[[], Encoder] = hashing_encoder
+    todo: DataFrame, make_encoder: Callable[[], Encoder] = hashing_encoder
 ) -> DataFrame:
-    """V-1, P-21: (review_id, embedding) of the reviews without one."""
-    todo = reviews.filter(F.col("review_embedding").isNull() & F.col("review").isNotNull())
-    return todo.select("review_id", embed(make_encoder)(F.col("review")).alias("embedding"))
+    """V-1: (review_id, embedding) for rows (review_id, review); rows without text get none."""
+    texts = todo.filter(F.col("review").isNotNull())
+    return texts.select("review_id", embed(make_encoder)(F.col("review")).alias("embedding"))
 
 
 def write_back(reviews: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """J-7, SNK-9: reviews with the new embeddings filled in."""
+    """J-7, SNK-9: reviews with the made embeddings filled in."""
     new = embeddings.select("review_id", F.col("embedding").alias("_new"))
     return reviews.join(new, "review_id", "left").select(
         *[
@@ -49,6 +59,18 @@ def write_back(reviews: DataFrame, embeddings: DataFrame) -> DataFrame:
     )
 
 
+def search_vectors(reviews: DataFrame, embeddings: DataFrame) -> DataFrame:
+    """(review_id, review_embedding) of all reviews, as after ``write_back`` but without moving a
+    vector through a join: own vectors, made ones, and a NULL for reviews with neither."""
+    columns = ["review_id", "review_embedding"]
+    own = reviews.filter(F.col("review_embedding").isNotNull()).select(*columns)
+    made = embeddings.select("review_id", F.col("embedding").alias("review_embedding"))
+    none = without_embedding(reviews, embeddings).select(
+        "review_id", F.lit(None).cast("array<float>").alias("review_embedding")
+    )
+    return own.unionByName(made).unionByName(none)
+
+
 def cosine_distance(vector: Column, query: Sequence[float]) -> Column:
     """1 - cosine, as a Spark expression; NULL for a NULL, zero or wrong-length vector."""
     probe = F.array(*[F.lit(float(x)) for x in query])
@@ -70,14 +92,18 @@ def nearest(
     k: int = 5,
     id_column: str = "review_id",
     vector_column: str = "review_embedding",
+    details: DataFrame | None = None,
 ) -> DataFrame:
     """V-2, T-4: the k rows nearest to ``query`` with their ``distance``, nearest first.
 
     Exact over the whole corpus: every task scores its Arrow batches with one matrix product and
     hands on its best k, so k rows per task reach the final sort. Only id and vector pass through
-    Python; the other columns are fetched for the k winners by a join that broadcasts k rows.
-    Vectors without a distance (NULL, zero, wrong length) come last; ties go to the smaller id.
+    Python; the other columns (of ``details``, by default the corpus) are fetched for the k
+    winners by a join that broadcasts k rows. Vectors without a distance (NULL, zero, wrong
+    length) come last; ties go to the smaller id.
     """
+    if not 1 <= k <= MOST_NEIGHBOURS:
+        raise ValueError(f"k must lie between 1 and {MOST_NEIGHBOURS}")
     kind = corpus.schema[id_column].dataType.simpleString()
     probe = np.asarray(query, dtype=np.float64)
     length = np.linalg.norm(probe)
@@ -86,8 +112,10 @@ def nearest(
     def best_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: pa.Table | None = None
         for batch in batches:
-            scored = pa.table({"id": batch.column(0), "distance": _distances(batch.column(1), unit, len(probe))})
-            pool = scored if best is None else pa.concat_tables([best, scored])
+            distance = _distances(batch.column(1), unit, len(probe))
+            pool = pa.table({"id": batch.column(0), "distance": distance})
+            if best is not None:
+                pool = pa.concat_tables([best, pool])
             best = pool.sort_by([("distance", "ascending"), ("id", "ascending")]).slice(0, k)
         if best is not None:
             yield from best.combine_chunks().to_batches()
@@ -98,10 +126,11 @@ def nearest(
         .orderBy(F.col("distance").asc_nulls_last(), "id")
         .limit(k)
     )
-    rest = [c for c in corpus.columns if c not in (id_column, vector_column)]
     winners = top.withColumnRenamed("id", id_column)
+    source = corpus if details is None else details
+    rest = [c for c in source.columns if c not in (id_column, vector_column)]
     if rest:
-        winners = corpus.select(id_column, *rest).join(F.broadcast(winners), id_column)
+        winners = source.select(id_column, *rest).join(F.broadcast(winners), id_column)
     return winners.select(id_column, *rest, "distance").orderBy(
         F.col("distance").asc_nulls_last(), id_column
     )

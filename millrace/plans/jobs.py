@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame
 
 from millrace import schemas
 from millrace.functions.encoders import Encoder, hashing_encoder
@@ -45,11 +45,9 @@ def run_all(job: str, steps: dict[str, Callable[[], object]]) -> dict[str, objec
     return results
 
 
-def write_counted(store: Store, df: DataFrame, name: str, mode: str) -> int:
-    """A-11: rows written, counted while writing."""
-    seen = Observation()
-    store.write(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, mode)
-    rows = seen.get["rows"]
+def write_logged(store: Store, df: DataFrame, name: str, mode: str) -> int:
+    """A-11: write a table and log how many rows it got."""
+    rows = store.write(df, name, mode)
     log.info("%s: %s rows", name, rows)
     return rows
 
@@ -70,7 +68,7 @@ def load_table(store: Store, source: Source, table: str, partitions: int, lookba
     # Refused rows go first: once the others are stored, the cursor has passed them all.
     if schemas.may_reject(rows, name):
         store.write(refused, "bronze.rejected_rows")
-    return write_counted(store, fitting, name, "append")
+    return write_logged(store, fitting, name, "append")
 
 
 def load_tables(
@@ -97,19 +95,19 @@ def build_silver(store: Store, newest_only: bool = False) -> dict[str, object]:
     return run_all(
         "build silver",
         {
-            "users": lambda: write_counted(
+            "users": lambda: write_logged(
                 store, silver.users(bronze("users")), "silver.users", "replace"
             ),
-            "items": lambda: write_counted(
+            "items": lambda: write_logged(
                 store, silver.items(bronze("items")), "silver.items", "replace"
             ),
-            "purchases_enriched": lambda: write_counted(
+            "purchases_enriched": lambda: write_logged(
                 store,
                 silver.purchases_enriched(bronze("purchases"), bronze("users"), bronze("items")),
                 "silver.purchases_enriched",
                 "replace",
             ),
-            "pageviews_by_items": lambda: write_counted(
+            "pageviews_by_items": lambda: write_logged(
                 store,
                 silver.pageviews_by_items(store.read("bronze.pageviews"), bronze("items")),
                 "silver.pageviews_by_items",
@@ -129,7 +127,7 @@ def build_gold(store: Store) -> dict[str, int]:
         "gold.pageviews_by_channel": gold.pageviews_by_channel(seen),
         "gold.top_converting_items": gold.top_converting_items(seen, bought),
     }
-    return {name: write_counted(store, df, name, "replace") for name, df in results.items()}
+    return {name: write_logged(store, df, name, "replace") for name, df in results.items()}
 
 
 def segment_users(store: Store, day: str, folder: str) -> str:
@@ -137,15 +135,24 @@ def segment_users(store: Store, day: str, folder: str) -> str:
     df = segments.user_engagement_segments(
         store.read("silver.users"), store.read("silver.pageviews_by_items"), day
     )
-    write_counted(store, df, "gold.user_engagement_segments", "overwrite")
+    write_logged(store, df, "gold.user_engagement_segments", "overwrite")
     return segments.export_segments(store.read("gold.user_engagement_segments"), day, folder)
 
 
-def watch_logins(store: Store, logins: DataFrame, geo: DataFrame, checkpoints: str) -> None:
+def watch_logins(
+    store: Store,
+    logins: DataFrame,
+    geo: DataFrame,
+    checkpoints: str,
+    state_partitions: int | None = None,
+) -> None:
     """JOB-6: enrich, then look for anomalies in the enriched log."""
     login_streams.ingest_logins(store, logins, geo, f"{checkpoints}/logins")
     login_streams.write_anomalies(
-        store, store.read_stream("rt.login_events_enriched"), f"{checkpoints}/anomalies"
+        store,
+        store.read_stream("rt.login_events_enriched"),
+        f"{checkpoints}/anomalies",
+        state_partitions,
     )
 
 
@@ -160,13 +167,16 @@ def follow_items(store: Store, messages: DataFrame, checkpoints: str) -> None:
 
 
 def embed_reviews(store: Store, make_encoder: Callable[[], Encoder] = hashing_encoder) -> int:
-    """JOB-9: fill in missing embeddings; returns how many were missing. No work, no write."""
-    reviews = store.read("rt.reviews")
-    missing = reviews.filter("review_embedding IS NULL AND review IS NOT NULL").count()
-    if missing:
-        new = vectors.new_embeddings(reviews, make_encoder)
-        store.write(vectors.write_back(reviews, new), "rt.reviews", "replace")
-    return missing
+    """JOB-9: make the missing embeddings and return their number; without work nothing is
+    written. An error leaves no part of the run behind."""
+    made = store.read("rt.review_embeddings") if store.exists("rt.review_embeddings") else None
+    todo = vectors.without_embedding(store.read("rt.reviews"), made)
+    todo = todo.filter("review IS NOT NULL")
+    if todo.isEmpty():
+        return 0
+    return write_logged(
+        store, vectors.new_embeddings(todo, make_encoder), "rt.review_embeddings", "append"
+    )
 
 
 def full_run(store: Store, source: Source, pageviews: str, checkpoints: str) -> None:

@@ -31,6 +31,7 @@ from millrace.tables import Store
 
 AS_OF = "2024-01-31"
 SPLIT_AT = "2024-01-16"  # first load of the incremental query ends here
+LOGINS_PER_DROP = 500_000_000
 SEARCH_TEXT = "the support team answered quickly and solved my problem"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -287,25 +288,36 @@ def item_documents_stream(spark, folder):
 
 
 def login_anomalies_stream(spark, folder):
-    """Logins arrive in two drops, in time order; each drop is followed by a run to completion.
+    """Logins arrive in drops, in time order; each drop is followed by a run to completion.
 
-    The last logins stay undecided until the watermark passes them.
+    The number of drops grows with the table, so one run holds a bounded number of undecided
+    logins. The last logins stay undecided until the watermark passes them.
     """
     base = scratch_dir(spark, "logins")
     store = Store(spark, f"{base}/store")
-    rows = shop.logins(spark, folder)
-    middle = rows.agg(F.percentile_approx(F.unix_micros(F.col("timestamp").cast("timestamp")), 0.5))
-    cut = middle.first()[0]
-    late = F.unix_micros(F.col("timestamp").cast("timestamp")) > cut
-    for drop in (~late, late):
-        rows.filter(drop).write.mode("append").json(f"{base}/in")
-        stream = spark.readStream.schema(rows.schema).json(f"{base}/in")
-        jobs.watch_logins(store, stream, shop.geo(spark), f"{base}/checkpoints")
+    rows = shop.logins(spark, folder).withColumn(
+        "at", F.unix_micros(F.col("timestamp").cast("timestamp"))
+    )
+    drops = max(2, -(-rows.count() // LOGINS_PER_DROP))
+    shares = [i / drops for i in range(1, drops)]
+    cuts = rows.agg(F.percentile_approx("at", shares)).first()[0]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        after = F.lit(True) if low is None else F.col("at") > low
+        until = F.lit(True) if high is None else F.col("at") <= high
+        drop = rows.filter(after & until).drop("at")
+        drop.write.mode("append").json(f"{base}/in")
+        jobs.watch_logins(
+            store,
+            spark.readStream.schema(drop.schema).json(f"{base}/in"),
+            shop.geo(spark),
+            f"{base}/checkpoints",
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
     return store.read("rt.login_anomalies").select("user_id", "timestamp", "reason", "country")
 
 
 def review_embeddings(spark, folder):
-    return vectors.new_embeddings(shop.reviews(spark, folder))
+    return vectors.new_embeddings(vectors.without_embedding(shop.reviews(spark, folder)))
 
 
 def similar_vectors_top5(spark, folder):
@@ -317,11 +329,15 @@ def similar_vectors_top5(spark, folder):
 
 
 def similar_reviews_top5(spark, folder):
-    """Embed all reviews, then search them by text."""
+    """Embed all reviews into the embeddings table, then search them by text."""
+    store = Store(spark, scratch_dir(spark, "reviews"))
     reviews = shop.reviews(spark, folder)
-    corpus = vectors.write_back(reviews, vectors.new_embeddings(reviews))
+    made = vectors.new_embeddings(vectors.without_embedding(reviews))
+    store.write(made, "rt.review_embeddings")
+    corpus = vectors.search_vectors(reviews, store.read("rt.review_embeddings"))
     probe = vectors.hashing_encoder()([SEARCH_TEXT])[0]
-    return vectors.nearest(corpus, probe).select(
+    found = vectors.nearest(corpus, probe, details=reviews.select("review_id", "customer_name", "review"))
+    return found.select(
         "review_id", "customer_name", "review", F.round("distance", 4).alias("similarity")
     )
 

@@ -42,28 +42,26 @@ def _by_category(ddl: str) -> Table:
     return Table(ddl, ("category_key",), {"category_key": "category"})
 
 
-PAGEVIEW_EVENT = StructType.fromDDL(
+# Shapes of incoming messages, as DDL text so that importing needs no session.
+PAGEVIEW_EVENT = (
     "user_id BIGINT, url STRING, channel STRING, received_at BIGINT, _corrupt_record STRING"
 )
-PURCHASE_CHANGE = StructType.fromDDL(
+PURCHASE_CHANGE = (
     "id BIGINT, user_id BIGINT, item_id BIGINT, campaign_id STRING, status INT, quantity INT, "
     "purchase_price DOUBLE, deleted BOOLEAN, created_at BIGINT, updated_at BIGINT"
 )
-ITEM_ROW = StructType.fromDDL(
+ITEM_ROW = (
     "id BIGINT, name STRING, category STRING, price STRING, inventory INT, "
     "created_at BIGINT, updated_at BIGINT"
 )
 ITEM_ENVELOPE = (
-    StructType()
-    .add("before", ITEM_ROW)
-    .add("after", ITEM_ROW)
-    .add("op", "string")
-    .add("source", StructType.fromDDL("table STRING, ts_ms BIGINT"))
+    f"before STRUCT<{ITEM_ROW}>, after STRUCT<{ITEM_ROW}>, op STRING, "
+    "source STRUCT<table STRING, ts_ms BIGINT>"
 )
-LOGIN_EVENT = StructType.fromDDL(
+LOGIN_EVENT = (
     "user_id STRING, timestamp STRING, ip STRING, device STRING, platform STRING, user_agent STRING"
 )
-GEO_PREFIX = StructType.fromDDL("ip_prefix STRING, country STRING, city STRING")
+GEO_PREFIX = "ip_prefix STRING, country STRING, city STRING"
 
 TABLES: dict[str, Table] = {
     "bronze.users": _by_day(
@@ -169,6 +167,8 @@ TABLES: dict[str, Table] = {
         "review_id BIGINT, customer_name STRING, customer_email STRING, date DATE, review STRING, "
         "review_embedding ARRAY<FLOAT>"
     ),
+    # Embeddings made here, so that a few new ones do not rewrite all reviews.
+    "rt.review_embeddings": Table("review_id BIGINT, embedding ARRAY<FLOAT>"),
 }
 
 

@@ -62,10 +62,10 @@ class NewCountry(StatefulProcessor):
 
     def judge(self, stamps: np.ndarray) -> np.ndarray:
         """Which instants fire; remembers what later ones need."""
-        known = self.recent.get()[0] if self.recent.exists() else []
-        if not known:
+        known = self.recent.get()
+        if known is None:
             self.watch(stamps[-1])
-        history = np.concatenate([np.array(known, dtype=np.int64), stamps])
+        history = np.concatenate([np.array(known[0] if known else [], dtype=np.int64), stamps])
         place = np.searchsorted(history, stamps - self.gap, side="right") - 1
         fires = (place < 0) | (history[np.maximum(place, 0)] < stamps - self.reach)
         first = np.searchsorted(history, history[-1] - self.gap, side="right") - 1
@@ -77,8 +77,9 @@ class NewCountry(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         """One timer per key: forget it, or look again when its newer logins have aged too."""
-        if self.recent.exists():
-            last = self.recent.get()[0][-1]
+        known = self.recent.get()
+        if known is not None:
+            last = known[0][-1]
             if last + self.reach < timerValues.getCurrentWatermarkInMs() * 1000:
                 self.recent.clear()
             else:
@@ -116,10 +117,13 @@ def anomaly_stream(
     )
 
 
-def write_anomalies(store: Store, enriched: DataFrame, checkpoint: str) -> None:
+def write_anomalies(
+    store: Store, enriched: DataFrame, checkpoint: str, state_partitions: int | None = None
+) -> None:
     """Add new anomalies to their log; ``enriched`` is the login log read as a stream."""
     run_stream(
         anomaly_stream(enriched),
         lambda batch, n: store.write(batch, "rt.login_anomalies", batch_id=n),
         checkpoint,
+        state_partitions,
     )

@@ -9,16 +9,30 @@ from pyspark.storagelevel import StorageLevel
 
 
 def run_stream(
-    stream: DataFrame, write_batch: Callable[[DataFrame, int], None], checkpoint: str
+    stream: DataFrame,
+    write_batch: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    state_partitions: int | None = None,
 ) -> None:
-    """Process everything available now and stop; the checkpoint remembers what was done."""
-    query = (
-        stream.writeStream.outputMode("append")
-        .foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Process everything available now and stop; the checkpoint remembers what was done.
+
+    ``state_partitions`` sets the number of state partitions of a new checkpoint, which can never
+    change afterwards; the session's shuffle partitions by default.
+    """
+    spark = stream.sparkSession
+    session_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions is not None:
+        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+    try:  # a query keeps the settings it was started with
+        query = (
+            stream.writeStream.outputMode("append")
+            .foreachBatch(write_batch)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
     query.awaitTermination()
 
 

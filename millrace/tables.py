@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructType
 
 from millrace.schemas import TABLES
@@ -90,42 +90,50 @@ class Store:
 
     def write(
         self, df: DataFrame, name: str, mode: str = "append", batch_id: int | None = None
-    ) -> None:
-        """SNK-1.
+    ) -> int:
+        """SNK-1, A-11: write and return the number of rows, counted on the way.
 
         ``append`` adds rows; ``overwrite`` replaces the partitions present in ``df`` (the whole
         table when it has none); ``replace`` swaps in a new copy of the whole table. Log tables
         take a ``batch_id``, as argument or column: writing the same batch again replaces it, so
         a replayed micro-batch adds nothing.
         """
+        if mode not in ("append", "overwrite", "replace"):
+            raise ValueError(f"unknown write mode {mode!r}")
         table = TABLES[name]
-        columns = [F.col(f"`{c}`") for c in table.schema.names]
+        columns = [F.col(f"`{c.name}`").cast(c.dataType).alias(c.name) for c in table.schema]
         partitions = list(table.partition_by)
-        if not self.catalog:
-            columns += [F.expr(e).alias(c) for c, e in table.derived.items()]
         if table.log:
             number = F.col("batch_id") if batch_id is None else F.lit(batch_id)
             columns.append(number.cast("bigint").alias("batch_id"))
             partitions.append("batch_id")
             mode = "overwrite" if mode == "append" else mode
         rows = df.select(*columns)
+        if not self.catalog:
+            rows = rows.withColumns({c: F.expr(e) for c, e in table.derived.items()})
+            if table.partition_by and not table.log:
+                # One shuffle keeps files few; it splits large partitions and joins small ones.
+                rows = rows.hint("rebalance", *table.partition_by)
+        written = Observation()
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
         if self.catalog:
-            target = rows.writeTo(f"{self.catalog}.{name}")
-            actions = {
-                "append": target.append,
-                "overwrite": target.overwritePartitions,
-                "replace": lambda: target.overwrite(F.lit(True)),
-            }
-            actions[mode]()
-            return
-
-        if table.partition_by and not table.log:
-            # One shuffle keeps files few; it splits large partitions and joins small ones.
-            rows = rows.hint("rebalance", *table.partition_by)
+            self._write_catalog(rows, name, mode)
+        else:
+            self._write_folder(rows, name, mode, partitions)
+        return written.get["rows"]
+
+    def _write_catalog(self, rows: DataFrame, name: str, mode: str) -> None:
+        target = rows.writeTo(f"{self.catalog}.{name}")
+        if mode == "append":
+            target.append()
+        elif mode == "overwrite":
+            target.overwritePartitions()
+        else:
+            target.overwrite(F.lit(True))
+
+    def _write_folder(self, rows: DataFrame, name: str, mode: str, partitions: list[str]) -> None:
         writer = rows.write.partitionBy(*partitions)
         live = self._live(name)
-        if mode not in ("append", "overwrite", "replace"):
-            raise ValueError(f"unknown write mode {mode!r}")
         if mode == "replace" or live is None or (mode == "overwrite" and not partitions):
             version = f"v-{uuid.uuid4().hex}"
             writer.parquet(f"{self._folder(name)}/{version}")
