@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from millrace.functions import times
@@ -43,39 +41,33 @@ class NewCountry(StatefulProcessor):
         self.handle = handle
         self.recent = handle.getValueState("recent", "instants ARRAY<BIGINT>")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         user, country = key
-        arrived = np.concatenate([part["timestamp"].to_numpy("datetime64[us]") for part in rows])
-        stamps = np.sort(arrived.astype(np.int64))
-        if user is None or country is None:
-            fires = np.ones(len(stamps), dtype=bool)
-        else:
-            fires = self.judge(stamps)
-        yield pd.DataFrame(
-            {
-                "user_id": user,
-                "timestamp": stamps[fires].astype("datetime64[us]"),
-                "reason": REASON,
-                "country": country,
-            }
-        )
-
-    def judge(self, stamps: np.ndarray) -> np.ndarray:
-        """Which instants fire; remembers what later ones need."""
+        stamps = sorted(row["at"] for row in rows)
+        fires = stamps if user is None or country is None else self.judge(stamps)
+        for stamp in fires:
+            yield Row(user_id=user, at=stamp, country=country)
+
+    def judge(self, stamps: list[int]) -> list[int]:
+        """The instants that fire; remembers what later ones need."""
         known = self.recent.get()
         if known is None:
             self.watch(stamps[-1])
-        history = np.concatenate([np.array(known[0] if known else [], dtype=np.int64), stamps])
-        place = np.searchsorted(history, stamps - self.gap, side="right") - 1
-        fires = (place < 0) | (history[np.maximum(place, 0)] < stamps - self.reach)
-        first = np.searchsorted(history, history[-1] - self.gap, side="right") - 1
-        self.recent.update(([int(x) for x in history[max(int(first), 0) :]],))
+        history = [*(known[0] if known else ()), *stamps]
+        fires = []
+        earlier = -1  # place of the newest instant at least a gap old
+        for stamp in stamps:
+            while history[earlier + 1] <= stamp - self.gap:
+                earlier += 1
+            if earlier < 0 or history[earlier] < stamp - self.reach:
+                fires.append(stamp)
+        self.recent.update((history[max(earlier, 0) :],))
         return fires
 
     def watch(self, last: int) -> None:
         self.handle.registerTimer(int(last + self.reach + self.gap) // 1000 + 1)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         """One timer per key: forget it, or look again when its newer logins have aged too."""
         known = self.recent.get()
         if known is not None:
@@ -108,13 +100,20 @@ def anomaly_stream(
         enriched.withWatermark("timestamp", delay)
         .groupBy("user_id", "country", "timestamp")
         .agg(F.count(F.lit(1)).alias("logins"))
+        .select("user_id", "country", "timestamp", F.unix_micros("timestamp").alias("at"))
     )
-    return instants.groupBy("user_id", "country").transformWithStateInPandas(
+    fired = instants.groupBy("user_id", "country").transformWithState(
         NewCountry(times.interval_micros(spark, min_gap), times.interval_micros(spark, lookback)),
-        "user_id STRING, timestamp TIMESTAMP, reason STRING, country STRING",
+        "user_id STRING, at BIGINT, country STRING",
         "append",
         "EventTime",
     )
+    return fired.select(
+        "user_id",
+        F.timestamp_micros("at").alias("timestamp"),
+        F.lit(REASON).alias("reason"),
+        "country",
+    )
 
 
 def write_anomalies(
