@@ -65,11 +65,15 @@ def _geo_broadcast(logins: DataFrame, geo: DataFrame, lengths: list[int]) -> Dat
 
 
 def _geo_shuffled(logins: DataFrame, geo: DataFrame, lengths: list[int]) -> DataFrame:
-    heads = F.explode(F.array(*[F.substring("ip", 1, n) for n in lengths])).alias("ip_prefix")
-    # A short IP repeats itself for every longer length, hence the second distinct.
+    # A short IP is its own head for every longer length, hence array_distinct.
+    heads = F.array_distinct(F.array(*[F.substring("ip", 1, n) for n in lengths]))
     resolved = (
-        logins.select("ip").distinct().select("ip", heads).distinct().join(geo, "ip_prefix")
-    ).select(F.col("ip").alias("_ip"), "country", "city")
+        logins.select("ip")
+        .distinct()
+        .select(F.col("ip").alias("_ip"), F.explode(heads).alias("ip_prefix"))
+        .join(geo, "ip_prefix")
+        .select("_ip", "country", "city")
+    )
     return logins.join(resolved, F.col("ip") == F.col("_ip"), "left").drop("_ip")
 
 
