@@ -147,7 +147,8 @@ def _distances(vectors: pa.Array, unit: np.ndarray | None, dimensions: int) -> p
         matrix = flat.reshape(-1, dimensions)
         norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
         with np.errstate(divide="ignore", invalid="ignore"):
-            scores = 1.0 - (matrix @ unit) / norms
+            scores = 1.0 - np.einsum("ij,j->i", matrix, unit) / norms
         scores[~np.isfinite(scores)] = np.nan
-        distances[usable] = scores
+        # Equal vectors must tie whatever the order of summation.
+        distances[usable] = np.round(scores, 12)
     return pa.array(distances, mask=np.isnan(distances))

@@ -154,6 +154,30 @@ SHAPES = {
           CASE WHEN lower(device) LIKE '%iphone%' OR lower(device) LIKE '%android%'
             THEN 'mobile' ELSE 'desktop' END AS device_type, country, city
         FROM logins LEFT JOIN geo ON ip LIKE concat(ip_prefix, '%')""",
+    "texts": """
+        SELECT doc_id AS review_id, text FROM documents
+        UNION ALL SELECT -1, 'the support team answered quickly and solved my problem'""",
+    "grams": """
+        SELECT review_id, unnest(list_concat(regexp_extract_all(h, '.{6}'),
+            regexp_extract_all(substr(h, 3), '.{6}'), regexp_extract_all(substr(h, 5), '.{6}')))
+            AS gram
+        FROM (SELECT review_id, hex(encode(concat(' ', lower(text), ' '))) AS h FROM texts)""",
+    "slots": """
+        SELECT review_id, (mixed // 2) % 384 AS slot,
+          sum(CASE WHEN mixed % 2 = 1 THEN 1 ELSE -1 END) AS weight
+        FROM (SELECT review_id, CAST((CAST(concat('0x', gram) AS HUGEINT)
+                * CAST('11400714819323198485' AS HUGEINT)
+                % CAST('18446744073709551616' AS HUGEINT)) // 4294967296 AS BIGINT) AS mixed
+              FROM grams)
+        GROUP BY 1, 2""",
+    "text_values": """
+        SELECT review_id, place, CAST(coalesce(weight / nullif(norm, 0), 0) AS FLOAT) AS x
+        FROM (SELECT t.review_id, t.place, s.weight,
+                sqrt(sum(s.weight * s.weight) OVER (PARTITION BY t.review_id)) AS norm
+              FROM (SELECT review_id, unnest(range(384)) AS place FROM texts) t
+                LEFT JOIN slots s ON s.review_id = t.review_id AND s.slot = t.place)""",
+    "text_vectors": """
+        SELECT review_id, list(x ORDER BY place) AS vector FROM text_values GROUP BY review_id""",
     "user_versions": """
         SELECT * FROM users
         UNION ALL
@@ -303,6 +327,18 @@ STATEMENTS = {
           CAST(NULL AS BIGINT) AS user_id,
           CASE event_type WHEN 'signup' THEN concat('/signup/', event_id) END AS url
         FROM events WHERE event_type IN ('error', 'signup')""",
+    "review_embeddings": """
+        SELECT review_id, string_agg(CAST(CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)
+            AS VARCHAR), ',' ORDER BY place) AS embedding
+        FROM text_values WHERE review_id >= 0 GROUP BY review_id""",
+    "similar_reviews_top5": """
+        SELECT review_id, customer_name, review, round(distance, 4) AS similarity FROM (
+          SELECT v.review_id, d.source AS customer_name, d.text AS review,
+            round(list_cosine_distance(CAST(v.vector AS DOUBLE[]),
+              (SELECT CAST(vector AS DOUBLE[]) FROM text_vectors WHERE review_id = -1)), 12)
+              AS distance
+          FROM text_vectors v JOIN documents d ON d.doc_id = v.review_id)
+        ORDER BY distance, review_id LIMIT 5""",
     "similar_vectors_top5": """
         SELECT vec_id AS review_id, label, round(distance, 4) AS similarity FROM (
           SELECT vec_id, label, list_cosine_distance(CAST(embedding AS DOUBLE[]),

@@ -317,7 +317,12 @@ def login_anomalies_stream(spark, folder):
 
 
 def review_embeddings(spark, folder):
-    return vectors.new_embeddings(vectors.without_embedding(shop.reviews(spark, folder)))
+    """Vectors are shown as text, in millionths."""
+    made = vectors.new_embeddings(vectors.without_embedding(shop.reviews(spark, folder)))
+    millionths = F.transform(
+        "embedding", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string")
+    )
+    return made.select("review_id", F.array_join(millionths, ",").alias("embedding"))
 
 
 def similar_vectors_top5(spark, folder):
@@ -336,7 +341,8 @@ def similar_reviews_top5(spark, folder):
     store.write(made, "rt.review_embeddings")
     corpus = vectors.search_vectors(reviews, store.read("rt.review_embeddings"))
     probe = vectors.hashing_encoder()([SEARCH_TEXT])[0]
-    found = vectors.nearest(corpus, probe, details=reviews.select("review_id", "customer_name", "review"))
+    shown = reviews.select("review_id", "customer_name", "review")
+    found = vectors.nearest(corpus, probe, details=shown)
     return found.select(
         "review_id", "customer_name", "review", F.round("distance", 4).alias("similarity")
     )
