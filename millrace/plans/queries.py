@@ -295,20 +295,19 @@ def login_anomalies_stream(spark, folder):
     """
     base = scratch_dir(spark, "logins")
     store = Store(spark, f"{base}/store")
-    rows = shop.logins(spark, folder).withColumn(
-        "at", F.unix_micros(F.col("timestamp").cast("timestamp"))
-    )
-    drops = max(2, -(-rows.count() // LOGINS_PER_DROP))
-    shares = [i / drops for i in range(1, drops)]
-    cuts = rows.agg(F.percentile_approx("at", shares)).first()[0]
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        after = F.lit(True) if low is None else F.col("at") > low
-        until = F.lit(True) if high is None else F.col("at") <= high
-        drop = rows.filter(after & until).drop("at")
-        drop.write.mode("append").json(f"{base}/in")
+    rows = shop.logins(spark, folder)
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    first, last, total = rows.agg(F.min(at), F.max(at), F.count(at)).first()
+    drops = max(2, -(-total // LOGINS_PER_DROP))
+    number = F.width_bucket(at, F.lit(first), F.lit(last + 1), F.lit(drops))
+    numbered = rows.withColumn("drop", number).hint("rebalance", "drop")
+    numbered.write.partitionBy("drop").json(f"{base}/drops")
+    stored = spark.read.schema(numbered.schema).json(f"{base}/drops")
+    for n in range(1, drops + 1):
+        stored.filter(F.col("drop") == n).drop("drop").write.mode("append").json(f"{base}/in")
         jobs.watch_logins(
             store,
-            spark.readStream.schema(drop.schema).json(f"{base}/in"),
+            spark.readStream.schema(rows.schema).json(f"{base}/in"),
             shop.geo(spark),
             f"{base}/checkpoints",
             state_partitions=spark.sparkContext.defaultParallelism,
