@@ -12,20 +12,34 @@ from millrace.schemas import PURCHASE_CHANGE
 # Fixed value: destination name inside a topic name (SNK-7).
 TOPIC_PATTERN = r"^dbz.public.(.*)$"
 
+# Stored types that are narrower than those of a purchase change row.
+PURCHASE_LIMITS = {"status": "smallint", "purchase_price": "decimal(12,2)"}
 
-def decode_changes(messages: DataFrame, schema: str = PURCHASE_CHANGE) -> DataFrame:
+
+def decode_changes(
+    messages: DataFrame, schema: str = PURCHASE_CHANGE, limits: dict[str, str] | None = None
+) -> DataFrame:
     """SRC-3: JSON text in ``value`` becomes the columns of ``schema`` plus ``_error`` and
-    ``_raw_message``; ``_error`` is '' for a readable message. Empty payloads are dropped."""
+    ``_raw_message``; ``_error`` is '' for a readable message. Empty payloads are dropped.
+
+    ``limits`` names the narrower type a column must fit; a value beyond it is an error of its
+    message, so that it cannot stop the stream later.
+    """
     options = {"columnNameOfCorruptRecord": "_corrupt"}
     row = F.from_json("value", f"{schema}, _corrupt STRING", options)
     bad = F.col("_row._corrupt").isNotNull() | F.col("_row.id").isNull()
+    misfit = F.lit(False)
+    for name, kind in (limits or {}).items():
+        value = F.col(f"_row.{name}")
+        misfit = misfit | (value.isNotNull() & value.try_cast(kind).isNull())
+    error = F.when(bad, "decode error").when(misfit, "value out of range").otherwise("")
     return (
         messages.filter(F.col("value").isNotNull())
         .select("value", row.alias("_row"))
         .select(
             *[F.col(f"_row.{name}").alias(name) for name in StructType.fromDDL(schema).names],
-            F.when(bad, F.lit("decode error")).otherwise(F.lit("")).alias("_error"),
-            F.when(bad, F.col("value")).otherwise(F.lit("")).alias("_raw_message"),
+            error.alias("_error"),
+            F.when(error != "", F.col("value")).otherwise(F.lit("")).alias("_raw_message"),
         )
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import cleaning, times
+from millrace.operators.latest import latest_by_key
 
 REASON = "Login from new country"  # fixed value
 
@@ -83,6 +84,12 @@ def enrich_logins(logins: DataFrame, geo: DataFrame) -> DataFrame:
     return geo_join(classify_logins(logins), geo).select(*keep, "device_type", "country", "city")
 
 
+def upserted(log: DataFrame) -> DataFrame:
+    """SNK-6: a login or anomaly log as a keyed table, the last written row per user and time."""
+    wanted = [c for c in log.columns if c not in ("batch_id", "event_day")]
+    return latest_by_key(log, ["user_id", "timestamp"], "batch_id", wanted)
+
+
 def login_anomalies(
     enriched: DataFrame, lookback: str = "7 days", min_gap: str = "1 second"
 ) -> DataFrame:

@@ -237,6 +237,12 @@ _SEGMENT_COLUMNS = """
       days_since_last_active, engagement_segment FROM labelled
 """
 
+_EMBEDDED = """
+    SELECT review_id, string_agg(CAST(CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)
+        AS VARCHAR), ',' ORDER BY place) AS embedding
+    FROM text_values WHERE review_id >= 0 GROUP BY review_id
+"""
+
 STATEMENTS = {
     "silver_users": "SELECT * FROM silver_users",
     "silver_items": """
@@ -327,10 +333,10 @@ STATEMENTS = {
           CAST(NULL AS BIGINT) AS user_id,
           CASE event_type WHEN 'signup' THEN concat('/signup/', event_id) END AS url
         FROM events WHERE event_type IN ('error', 'signup')""",
-    "review_embeddings": """
-        SELECT review_id, string_agg(CAST(CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)
-            AS VARCHAR), ',' ORDER BY place) AS embedding
-        FROM text_values WHERE review_id >= 0 GROUP BY review_id""",
+    "review_embeddings": _EMBEDDED,
+    "embedding_write_back": f"""
+        SELECT e.review_id, d.text AS review, e.embedding
+        FROM ({_EMBEDDED}) e JOIN documents d ON d.doc_id = e.review_id""",
     "similar_reviews_top5": """
         SELECT review_id, customer_name, review, round(distance, 4) AS similarity FROM (
           SELECT v.review_id, d.source AS customer_name, d.text AS review,

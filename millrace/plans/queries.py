@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampType
 
+from millrace.functions import times
 from millrace.operators import (
     changes,
     dashboard,
@@ -54,7 +55,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 def _typed_pageviews(spark: SparkSession, folder: str) -> DataFrame:
     return shop.pageviews(spark, folder).withColumn(
-        "received_at", F.timestamp_seconds("received_at")
+        "received_at", times.from_epoch_seconds(F.col("received_at"))
     )
 
 
@@ -315,13 +316,27 @@ def login_anomalies_stream(spark, folder):
     return store.read("rt.login_anomalies").select("user_id", "timestamp", "reason", "country")
 
 
+def _as_millionths(name: str) -> Column:
+    """A vector as text, so that engines can be compared."""
+    numbers = F.transform(
+        name, lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string")
+    )
+    return F.array_join(numbers, ",").alias("embedding")
+
+
 def review_embeddings(spark, folder):
-    """Vectors are shown as text, in millionths."""
     made = vectors.new_embeddings(vectors.without_embedding(shop.reviews(spark, folder)))
-    millionths = F.transform(
-        "embedding", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string")
-    )
-    return made.select("review_id", F.array_join(millionths, ",").alias("embedding"))
+    return made.select("review_id", _as_millionths("embedding"))
+
+
+def embedding_write_back(spark, folder):
+    """Reviews after a run of the embedding job."""
+    store = Store(spark, scratch_dir(spark, "reviews"))
+    reviews = shop.reviews(spark, folder)
+    store.write(reviews, "rt.reviews")
+    jobs.embed_reviews(store)
+    filled = vectors.write_back(store.read("rt.reviews"), store.read("rt.review_embeddings"))
+    return filled.select("review_id", "review", _as_millionths("review_embedding"))
 
 
 def similar_vectors_top5(spark, folder):
@@ -379,6 +394,7 @@ ALL: dict[str, Query] = {
     "item_documents_stream": item_documents_stream,
     "login_anomalies_stream": login_anomalies_stream,
     "review_embeddings": review_embeddings,
+    "embedding_write_back": embedding_write_back,
     "similar_vectors_top5": similar_vectors_top5,
     "similar_reviews_top5": similar_reviews_top5,
 }

@@ -22,7 +22,8 @@ def ingest_purchase_changes(store: Store, messages: DataFrame, checkpoint: str)
         rows = changes.purchase_errors(batch).withColumn("ingested_at", F.current_timestamp())
         store.write(rows, "rt.purchases_errors", batch_id=n)
 
-    run_stream(changes.decode_changes(messages), shared_scan(good, bad), checkpoint)
+    decoded = changes.decode_changes(messages, limits=changes.PURCHASE_LIMITS)
+    run_stream(decoded, shared_scan(good, bad), checkpoint)
 
 
 def ingest_item_changes(store: Store, messages: DataFrame, checkpoint: str) -> None:
@@ -42,7 +43,8 @@ def ingest_item_changes(store: Store, messages: DataFrame, checkpoint: str) -> N
 
 
 def compact(store: Store, name: str, key: str, version: str) -> None:
-    """W-3: rewrite a log to the newest version per key. Run it while no stream writes the log.
+    """W-3: rewrite a log to the newest version per key. Run it while no stream writes the log,
+    and not on a log that is itself read as a stream: its rows would arrive there once more.
 
     Rows keep their batch number, so a later replay of a batch only brings back versions that the
     newest-version view discards again.

@@ -75,6 +75,22 @@ def test_decoding(spark):
     )
 
 
+def test_values_out_of_range_are_errors(spark):
+    texts = [
+        '{"id": 1, "status": 70000}',
+        '{"id": 2, "purchase_price": 1e300}',
+        '{"id": 3, "quantity": 99999999999}',
+        '{"id": 4, "status": 2, "purchase_price": 9999999999.99}',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    rows = changes.decode_changes(df, limits=changes.PURCHASE_LIMITS)
+    errors = sorted(r._error for r in rows.collect())
+    assert errors == ["", "decode error", "value out of range", "value out of range"]
+    assert {r._raw_message for r in changes.purchase_errors(rows).collect()} == set(texts[:3])
+    (kept,) = changes.valid_purchases(rows).collect()
+    assert (kept.id, kept.status) == (4, 2)
+
+
 def test_versions_in_different_months_leave_one_row(spark):
     df = spark.createDataFrame(
         [

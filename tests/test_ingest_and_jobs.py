@@ -125,6 +125,17 @@ def test_pageview_ingest_and_replay(spark, store, tmp_path):
     assert store.read("bronze.pageviews").count() == 3
 
 
+def test_absurd_times_do_not_stop_the_stream(spark, store, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    times = [2**63 - 1, -(2**63), 0]
+    (source / "a.json").write_text(
+        "\n".join(json.dumps({"user_id": 1, "url": "/x", "received_at": t}) for t in times)
+    )
+    ingest_pageviews(store, str(source), f"{tmp_path}/checkpoint")
+    assert store.read("bronze.pageviews").count() == 3
+
+
 def test_geo_file(spark, tmp_path):
     path = tmp_path / "geo.csv"
     path.write_text("ip_prefix,country,city\n# comment\n10.0.0,DE,Berlin\n203.0.113,US,New York\n")

@@ -134,6 +134,15 @@ def test_classification(spark):
     assert rows[3].timestamp is None
 
 
+def test_upsert_view(spark):
+    log = spark.createDataFrame(
+        [("u", at(0), "UK", 0), ("u", at(0), "DE", 1), ("u", at(1), None, 0)],
+        f"{ENRICHED}, batch_id long",
+    )
+    got = {(r.timestamp, r.country) for r in logins.upserted(log).collect()}
+    assert got == {(at(0), "DE"), (at(1), None)}
+
+
 def run_stream_over(spark, folder, drops):
     """Feed drops one after another, running to completion after each one."""
     store = Store(spark, f"{folder}/store")

@@ -45,7 +45,14 @@ LAZY = [
     name
     for name in QUERIES
     if not name.endswith("_stream")
-    and name not in ("segments_export", "incremental_ingest", "pageviews_dlq", "similar_reviews_top5")
+    and name
+    not in (
+        "segments_export",
+        "incremental_ingest",
+        "pageviews_dlq",
+        "similar_reviews_top5",
+        "embedding_write_back",
+    )
 ]
 
 
