@@ -234,7 +234,8 @@ _SELLING = """
 """
 _SEGMENT_COLUMNS = """
     SELECT user_id, email, full_name, total_pageviews, active_days, last_active_date,
-      days_since_last_active, engagement_segment FROM labelled
+      CAST(days_since_last_active AS VARCHAR) AS days_since_last_active, engagement_segment
+    FROM labelled
 """
 
 _EMBEDDED = """
@@ -244,7 +245,8 @@ _EMBEDDED = """
 """
 
 STATEMENTS = {
-    "silver_users": "SELECT * FROM silver_users",
+    "silver_users": """
+        SELECT * REPLACE (CAST(valid_email AS VARCHAR) AS valid_email) FROM silver_users""",
     "silver_items": """
         SELECT id, name, category, CAST(price AS DOUBLE) AS price, inventory, created_at, updated_at
         FROM silver_items""",
@@ -268,7 +270,8 @@ STATEMENTS = {
         viewers="count(DISTINCT v.user_id)", buyers="count(DISTINCT p.user_id)"
     ),
     "user_engagement_segments": """
-        SELECT *, '2024-01-31' AS segment_date FROM labelled""",
+        SELECT * REPLACE (CAST(days_since_last_active AS VARCHAR) AS days_since_last_active),
+          '2024-01-31' AS segment_date FROM labelled""",
     "segments_export": _SEGMENT_COLUMNS,
     "rt_purchases_latest": _LATEST,
     "rt_purchases_stream": _LATEST,

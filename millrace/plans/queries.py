@@ -53,6 +53,16 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
+def _as_text(query: Query, column: str) -> Query:
+    """The query with a nullable flag or number as text: engines show missing ones differently."""
+
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        return query(spark, folder).withColumn(column, F.col(column).cast("string"))
+
+    run.__name__ = query.__name__
+    return run
+
+
 def _typed_pageviews(spark: SparkSession, folder: str) -> DataFrame:
     return shop.pageviews(spark, folder).withColumn(
         "received_at", times.from_epoch_seconds(F.col("received_at"))
@@ -363,7 +373,7 @@ def similar_reviews_top5(spark, folder):
 
 
 ALL: dict[str, Query] = {
-    "silver_users": silver_users,
+    "silver_users": _as_text(silver_users, "valid_email"),
     "silver_items": silver_items,
     "silver_purchases_enriched": _enriched,
     "silver_pageviews_by_items": _item_views,
@@ -373,8 +383,8 @@ ALL: dict[str, Query] = {
     "pageviews_by_channel": pageviews_by_channel,
     "top_converting_items": top_converting_items,
     "top_converting_items_distinct": top_converting_items_distinct,
-    "user_engagement_segments": user_engagement_segments,
-    "segments_export": segments_export,
+    "user_engagement_segments": _as_text(user_engagement_segments, "days_since_last_active"),
+    "segments_export": _as_text(segments_export, "days_since_last_active"),
     "rt_purchases_latest": rt_purchases_latest,
     "rt_purchase_errors": rt_purchase_errors,
     "hourly_sales_24h": hourly_sales_24h,
