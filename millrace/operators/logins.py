@@ -24,7 +24,9 @@ def classify_logins(logins: DataFrame) -> DataFrame:
     )
 
 
-def geo_join(logins: DataFrame, geo: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def geo_join(
+    logins: DataFrame, geo: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """J-5: country and city of every prefix that starts ``ip``; NULLs where none does.
 
     Prefix matching becomes equality: a prefix of length L equals the first L characters of the
@@ -35,9 +37,8 @@ def geo_join(logins: DataFrame, geo: DataFrame, broadcast_bytes: int = BROADCAST
     """
     geo = geo.filter(F.col("ip_prefix").isNotNull()).select("ip_prefix", "country", "city")
     width = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in geo.columns) + F.lit(64)
-    sizes = (
-        geo.groupBy(F.length("ip_prefix").alias("length")).agg(F.sum(width).alias("bytes")).collect()
-    )
+    per_length = geo.groupBy(F.length("ip_prefix").alias("length"))
+    sizes = per_length.agg(F.sum(width).alias("bytes")).collect()  # one row per length
     if sum(row["bytes"] for row in sizes) <= broadcast_bytes:
         return _geo_broadcast(logins, geo, sorted(row["length"] for row in sizes))
     if logins.isStreaming:
