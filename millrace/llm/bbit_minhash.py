@@ -15,7 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import cut, pieces, text_key
+from millrace.llm.common import cut, maybe_among, pieces, text_key
 from millrace.llm.groups import linked_groups
 
 MINIMA = 256
@@ -164,7 +164,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             "minhash-wanted",
         )
         own = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_key") == F.col("w.text_key"))
-        texts = read.alias("d").join(wanted.alias("w"), own).select("w.id", "d.text").dropDuplicates(["id"])
+        near = maybe_among(read, F.col("text_key"), wanted, "text_key")
+        texts = near.alias("d").join(wanted.alias("w"), own).select("w.id", "d.text").dropDuplicates(["id"])
         both = sides(likely, texts, "text").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(_confirmed(size, percent), "a binary, b binary")
 

@@ -30,6 +30,21 @@ def text_key(text: Column) -> Column:
                     F.to_binary(F.lpad(F.hex(low), 16, "0"), F.lit("hex")))
 
 
+SLOTS = 2**20  # hash slots in which keys are looked for before a join; a broadcast of at most so many rows
+
+
+def slot(key: Column | str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(SLOTS)).cast("int")
+
+
+def maybe_among(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: str) -> DataFrame:
+    """The ``rows`` whose key shares a slot with one of ``wanted``: all that a join on the key would find
+    and some more. It keeps wide rows that cannot match out of the join's shuffle."""
+    hit = wanted.select(slot(wanted_key).alias("wanted_slot")).distinct()
+    marked = rows.withColumn("wanted_slot", slot(key))
+    return marked.join(F.broadcast(hit), "wanted_slot", "left_semi").drop("wanted_slot")
+
+
 def in_order(rows: DataFrame, *order: str) -> DataFrame:
     """``rows`` in partitions of ascending ranges of ``order``, sorted within. ``tie`` (new) separates
     equal rows, so that many rows of one key still spread over several partitions."""

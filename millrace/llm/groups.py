@@ -1,10 +1,10 @@
 """Groups of items joined by confirmed links, found without listing all pairs of a bucket.
 
-Items that may be linked share a bucket. Round one checks each item against one leader, so a large
-group of copies costs one pair per item. Round two looks only at buckets that still hold several
-groups, and there pairs just the items outside the bucket's largest group with the items of other
-groups. A link inside a group is never needed again, so the groups are those of all links between
-items that share a bucket.
+Items that may be linked share a bucket. In a round each item is checked against one leader, the most
+central item of another group that it meets in a bucket, so a large group of copies costs one pair per
+item. What the rounds leave apart is compared fully, but only in buckets that still hold several groups,
+and there only the items outside the bucket's largest group with the items of other groups. A link inside
+a group is never needed again, so the groups are those of all links between items that share a bucket.
 """
 
 from __future__ import annotations
@@ -52,29 +52,42 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         )
 
 
-def linked_groups(members: DataFrame, confirm: Confirm, name: str) -> DataFrame:
+def _mixed(placed: DataFrame, name: str) -> DataFrame:
+    """Members of the buckets that hold several groups; main is the bucket's largest group."""
+    counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    main = counts.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.count("*").alias("groups"))
+    main = main.where("groups > 1").select("bucket", F.col("top.root").alias("main"))
+    return cut(placed.join(main, "bucket"), name)
+
+
+def linked_groups(members: DataFrame, confirm: Confirm, name: str, rounds: int = 2) -> DataFrame:
     """(id, root) of every item with a confirmed link. ``members``: bucket, id, once each.
 
     ``confirm`` takes distinct pairs (a, b), a < b, and returns those that are linked.
     """
-    leaders = members.groupBy("bucket").agg(F.min("id").alias("leader"), F.count("*").alias("size"))
-    shared = cut(
-        members.join(leaders.where("size > 1").select("bucket", "leader"), "bucket"), f"{name}-shared"
-    )
-    tried = cut(
-        shared.where("id > leader").groupBy("id").agg(F.min("leader").alias("a")).select("a", F.col("id").alias("b")),
-        f"{name}-tried",
-    )
-    first = cut(confirm(tried), f"{name}-first")
-    roots = cut(components(first, f"{name}-stars"), f"{name}-roots")
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    shared = cut(members.join(sizes, "bucket"), f"{name}-shared")
+    # An item that shares buckets with many others lies in the middle of its group.
+    central = shared.groupBy("id").agg(F.sum("size").alias("central"))
+    held = shared.join(central, "id").select("bucket", "id", "central", F.col("id").alias("root"))
+    tried = linked = None
+    for _ in range(rounds):
+        held = _mixed(held, f"{name}-mixed")
+        heads = held.groupBy("bucket", "root").agg(F.max(F.struct("central", "id")).alias("head"))
+        best = heads.groupBy("bucket").agg(F.max(F.struct("head", "root")).alias("top"))
+        met = held.join(best, "bucket").where(F.col("root") != F.col("top.root")).select("id", F.col("top.head").alias("head"))
+        pairs = met.groupBy("id").agg(F.max("head").alias("head")).select(
+            F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")
+        )
+        pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = cut(pairs, f"{name}-tried")
+        tried = pairs if tried is None else tried.union(pairs)
+        found = cut(confirm(pairs), f"{name}-linked")
+        linked = found if linked is None else linked.union(found)
+        roots = cut(components(linked, f"{name}-stars"), f"{name}-roots")
+        held = held.drop("root", "main").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
-    placed = shared.join(roots, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
-    counts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("bucket").agg(
-        F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("groups")
-    )
-    mixed = mixed.where("groups > 1").select("bucket", F.col("main.root").alias("main"))
-    held = cut(placed.join(mixed, "bucket"), f"{name}-mixed")
+    held = _mixed(held, f"{name}-mixed")
     outside = held.where("root <> main").select("bucket", F.col("id").alias("other"), F.col("root").alias("other_root"))
     pairs = (
         held.join(outside, "bucket")
@@ -83,5 +96,4 @@ def linked_groups(members: DataFrame, confirm: Confirm, name: str) -> DataFrame:
         .distinct()
         .join(tried, ["a", "b"], "left_anti")
     )
-    second = cut(confirm(pairs), f"{name}-second")
-    return components(first.union(second), f"{name}-groups")
+    return components(linked.union(cut(confirm(pairs), f"{name}-linked")), f"{name}-groups")

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.common import cut, text_key
+from millrace.llm.common import cut, slot, text_key
 
 
 @dataclass(frozen=True)
@@ -175,18 +175,20 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Code points, end exclusive; spans of different kinds may overlap. A null or empty text has none;
     repeated rows have the same. A column of ``docs`` named secret_spans is replaced.
     """
-    found = cut(candidates(build_index(docs, rules), rules), "secret-candidates")
-    keyed = docs.withColumn("secret_key", text_key(F.col("text")))
-    joined = keyed.join(
-        found.select(F.col("key").alias("secret_key"), *(F.col(c).alias(f"secret_{c}") for c in found.columns[1:])),
-        "secret_key",
-        "left",
+    found = candidates(build_index(docs, rules), rules)
+    flags = found.columns[1:]
+    # Which slots hold candidates of a rule is at most SLOTS rows, so the texts are not moved; a text that
+    # merely shares a candidate's slot is scanned for nothing.
+    slots = found.groupBy(slot("key").alias("secret_slot")).agg(*(F.max(c).alias(f"secret_{c}") for c in flags))
+    slots = cut(slots, "secret-candidates")
+    joined = docs.withColumn("secret_slot", slot(text_key(F.col("text")))).join(
+        F.broadcast(slots), "secret_slot", "left"
     )
     text = F.coalesce(F.col("text"), F.lit(""))
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int>>")
     each = [
         F.when(F.col(f"secret_rule_{n}"), _spans(text, rule, n)).otherwise(none)
-        if f"rule_{n}" in found.columns
+        if f"rule_{n}" in flags
         else _spans(text, rule, n)
         for n, rule in enumerate(rules)
     ]
