@@ -44,9 +44,9 @@ FROM texts t LEFT JOIN joined j USING (row_id)
 #: op8. Vectors that take part, scaled; every query against every other row.
 TOP_K = """
 WITH usable AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(256 * cast(x AS double))) AS v FROM embeddings
+    SELECT vec_id, [floor(256 * cast(x AS double)) FOR x IN embedding] AS v FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
 scores AS (
     SELECT q.vec_id AS query_id, c.vec_id, cast(list_dot_product(q.v, c.v) AS bigint) AS score
     FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
