@@ -26,12 +26,10 @@ def floor_div(value: Column, step: int) -> Column:
     return ((value - F.pmod(value, F.lit(step).cast("bigint"))) / F.lit(step)).cast("bigint")
 
 
-def interval_micros(spark, interval: str) -> int:
+UNITS = {"second": 1, "minute": 60, "hour": 3_600, "day": 86_400, "week": 604_800}
+
+
+def interval_micros(interval: str) -> int:
     """Microseconds in an interval text such as '7 days'."""
-    row = spark.range(1).select(
-        (
-            F.unix_micros(F.expr(f"timestamp_seconds(0) + INTERVAL {interval}"))
-            - F.unix_micros(F.expr("timestamp_seconds(0)"))
-        ).alias("us")
-    )
-    return row.first()["us"]
+    number, unit = interval.split()
+    return int(float(number) * UNITS[unit.rstrip("s")] * 1_000_000)

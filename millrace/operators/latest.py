@@ -15,15 +15,20 @@ def latest_by_key(
 ) -> DataFrame:
     """The row with the greatest version per key, limited to ``columns`` when given.
 
-    One aggregate with a map-side step: each task keeps a single row per key before the shuffle,
-    so a key with any number of versions is cheap. Equal versions are settled by the remaining
-    columns in order, which makes reruns agree.
+    One aggregate with a map-side step: each task sends a single row per key into the shuffle, however
+    many versions a key has. The whole row of ``df`` settles equal versions, through a hash, so the winner does not
+    depend on ``columns``; where the order of such rows matters, their position belongs into ``version``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     version = [version] if isinstance(version, str) else list(version)
     wanted = list(columns) if columns is not None else df.columns
-    rest = [c for c in wanted if c not in version and c not in keys]
-    newest = F.max(F.struct(*[F.col(f"`{c}`") for c in [*version, *rest]])).alias("_newest")
+    order = F.struct(
+        *[F.col(f"`{c}`") for c in version], F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    )
+    kept = [c for c in wanted if c not in keys]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in kept]), order).alias("_newest")
+    if not kept:
+        return df.select(*keys).distinct().select(*wanted)
     best = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(newest)
     return best.select(
         *[F.col(f"`{c}`") if c in keys else F.col(f"_newest.`{c}`").alias(c) for c in wanted]

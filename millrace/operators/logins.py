@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import cleaning, times
 from millrace.operators.latest import latest_by_key
 
 REASON = "Login from new country"  # fixed value
-
-# Above this many bytes of prefix text the prefix table is shuffled instead of broadcast.
-BROADCAST_BYTES = 64 * 1024 * 1024
+SECOND = 1_000_000
+LOOKBACK, MIN_GAP = 7 * 86_400 * SECOND, SECOND  # fixed values, in microseconds
 
 
 def classify_logins(logins: DataFrame) -> DataFrame:
@@ -24,51 +23,36 @@ def classify_logins(logins: DataFrame) -> DataFrame:
     )
 
 
-def geo_join(
-    logins: DataFrame, geo: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def _time_read() -> Column:
+    return times.from_iso(F.col("timestamp")).isNotNull()
+
+
+def readable(logins: DataFrame) -> DataFrame:
+    """Logins whose time can be read."""
+    return logins.filter(_time_read())
+
+
+def unreadable(logins: DataFrame) -> DataFrame:
+    """The others, as error rows with the login as JSON."""
+    rows = logins.filter(~_time_read())
+    return rows.select(
+        F.lit("unreadable time").alias("_error"), F.to_json(F.struct("*")).alias("_raw_message")
+    )
+
+
+def geo_join(logins: DataFrame, geo: DataFrame) -> DataFrame:
     """J-5: country and city of every prefix that starts ``ip``; NULLs where none does.
 
-    Prefix matching becomes equality: a prefix of length L equals the first L characters of the
-    IP, and the lengths in use are few. One small job measures the prefix table per length.
-    Within the byte limit there is one broadcast hash join per length and no shuffle. Beyond it
-    the distinct IPs are looked up by a shuffle join on the prefix and joined back; hot IPs shrink
-    to one row for the lookup and are split by the adaptive skew join on the way back.
+    Prefix matching becomes equality: a prefix equals one of the heads of the IP. Each distinct IP is
+    looked up once by its heads and joined back, whatever the size of the prefix table; the
+    planner picks each join by measured size, and hot IPs shrink to one row for the lookup and
+    are split by the adaptive skew join on the way back. For batch input, in a stream inside
+    ``foreachBatch``.
     """
     geo = geo.filter(F.col("ip_prefix").isNotNull()).select("ip_prefix", "country", "city")
-    width = sum(F.coalesce(F.octet_length(c), F.lit(0)) for c in geo.columns) + F.lit(64)
-    per_length = geo.groupBy(F.length("ip_prefix").alias("length"))
-    sizes = per_length.agg(F.sum(width).alias("bytes")).collect()  # one row per length
-    if sum(row["bytes"] for row in sizes) <= broadcast_bytes:
-        return _geo_broadcast(logins, geo, sorted(row["length"] for row in sizes))
-    if logins.isStreaming:
-        raise ValueError("a prefix table of this size needs batch input: enrich in foreachBatch")
-    return _geo_shuffled(logins, geo, sorted(row["length"] for row in sizes))
-
-
-def _geo_broadcast(logins: DataFrame, geo: DataFrame, lengths: list[int]) -> DataFrame:
-    kind = "array<struct<country:string,city:string>>"
-    places = geo.groupBy("ip_prefix").agg(
-        F.collect_list(F.struct("country", "city")).alias("places")
-    )
-    out = logins
-    for n in lengths:
-        side = places.filter(F.length("ip_prefix") == n).select(
-            F.col("ip_prefix").alias(f"_prefix{n}"), F.col("places").alias(f"_places{n}")
-        )
-        out = out.join(
-            F.broadcast(side), F.substring("ip", 1, n) == F.col(f"_prefix{n}"), "left"
-        )
-    none = F.array().cast(kind)
-    found = F.concat(none, *[F.coalesce(f"_places{n}", none) for n in lengths])
-    return out.select(*logins.columns, F.explode_outer(found).alias("_place")).select(
-        *logins.columns, "_place.country", "_place.city"
+    heads = F.transform(
+        F.sequence(F.lit(0), F.length("ip")), lambda n: F.substring(F.col("ip"), F.lit(1), n)
     )
-
-
-def _geo_shuffled(logins: DataFrame, geo: DataFrame, lengths: list[int]) -> DataFrame:
-    # A short IP is its own head for every longer length, hence array_distinct.
-    heads = F.array_distinct(F.array(*[F.substring("ip", 1, n) for n in lengths]))
     resolved = (
         logins.select("ip")
         .distinct()
@@ -91,33 +75,16 @@ def upserted(log: DataFrame) -> DataFrame:
     return latest_by_key(log, ["user_id", "timestamp"], "batch_id", wanted)
 
 
-def login_anomalies(
-    enriched: DataFrame, lookback: str = "7 days", min_gap: str = "1 second"
-) -> DataFrame:
-    """J-6: logins without one of the same user and country between ``lookback`` and ``min_gap``
-    earlier, both ends included. An unknown country never counts as seen, so it always fires.
+def open_cells(cells: DataFrame, gap: int = MIN_GAP, reach: int = LOOKBACK) -> DataFrame:
+    """The cells that can still hold an anomaly, with the instants next to them.
 
-    Only the newest earlier login matters, and it sits in one of the two cells (``min_gap`` wide)
-    before the login's own. So logins first shrink to cells with their first and last time, a
-    count bounded by time and not by traffic; cells look back over two neighbours inside time
-    buckets, so one busy user is spread over many tasks; and only cells that can still hold an
-    anomaly, normally a small part, meet the logins again.
+    ``cells``: user_id, country, _cell (microseconds // gap), first_us, last_us; once each. Only the
+    newest earlier login matters, and it sits in one of the two cells before. Cells look back
+    over two neighbours inside time buckets, so one busy user is spread over many tasks.
     """
-    spark = enriched.sparkSession
-    gap = times.interval_micros(spark, min_gap)
-    reach = times.interval_micros(spark, lookback)
+    keys = ["user_id", "country"]
     back = -(-reach // gap) + 1  # cells a login can look back over
     span = 4 * back  # cells per bucket
-
-    keys = ["user_id", "country"]
-    logins = enriched.withColumn("_us", F.unix_micros("timestamp")).withColumn(
-        "_cell", times.floor_div(F.col("_us"), gap)
-    )
-    cells = (
-        logins.filter(F.col("country").isNotNull() & F.col("user_id").isNotNull())
-        .groupBy(*keys, "_cell")
-        .agg(F.min("_us").alias("first_us"), F.max("_us").alias("last_us"))
-    )
     home = times.floor_div(F.col("_cell"), span)
     tail = F.pmod(F.col("_cell"), F.lit(span).cast("bigint")) >= span - back
     # The end of a bucket is repeated in the next one, where it is only looked back at.
@@ -126,30 +93,56 @@ def login_anomalies(
     )
     order = Window.partitionBy(*keys, "_bucket").orderBy("_cell")
     adjacent = F.lag("_cell").over(order) == F.col("_cell") - 1
-    seen = placed.select(
-        *keys,
-        "_cell",
-        "_bucket",
-        "first_us",
-        "last_us",
-        F.when(adjacent, F.lag("first_us").over(order)).alias("_near"),
-        F.when(adjacent, F.lag("last_us", 2).over(order))
-        .otherwise(F.lag("last_us").over(order))
-        .alias("_before"),
-    ).filter(F.col("_bucket") == home)
-    open_cells = seen.filter(
-        (F.col("_near").isNull() | (F.col("first_us") < F.col("_near") + gap))
-        & (F.col("_before").isNull() | (F.col("last_us") > F.col("_before") + reach))
-    ).select(*keys, "_cell", "_near", "_before", F.lit(True).alias("_open"))
+    near = F.when(adjacent, F.lag("first_us").over(order))
+    before = F.when(adjacent, F.lag("last_us", 2).over(order)).otherwise(
+        F.lag("last_us").over(order)
+    )
+    return (
+        placed.withColumns({"_near": near, "_before": before})
+        .filter(F.col("_bucket") == home)
+        .filter(
+            (F.col("_near").isNull() | (F.col("first_us") < F.col("_near") + gap))
+            & (F.col("_before").isNull() | (F.col("last_us") > F.col("_before") + reach))
+        )
+        .drop("_bucket")
+    )
 
+
+def unseen(at: Column, gap: int = MIN_GAP, reach: int = LOOKBACK) -> Column:
+    """Whether an instant in an open cell has no login between ``reach`` and ``gap`` before it."""
+    return (F.col("_near").isNull() | (at < F.col("_near") + gap)) & (
+        F.col("_before").isNull() | (at > F.col("_before") + reach)
+    )
+
+
+def nowhere(enriched: DataFrame) -> DataFrame:
+    """Logins without user or country: an unknown country never counts as seen, so they all fire."""
     unknown = F.col("country").isNull() | F.col("user_id").isNull()
-    unseen = (
-        F.col("_open")
-        & (F.col("_near").isNull() | (F.col("_us") < F.col("_near") + gap))
-        & (F.col("_before").isNull() | (F.col("_us") > F.col("_before") + reach))
+    return enriched.filter(unknown).select(
+        "user_id", "timestamp", F.lit(REASON).alias("reason"), "country"
     )
-    return (
-        logins.join(open_cells, [*keys, "_cell"], "left")
-        .filter(unknown | unseen)
-        .select("user_id", "timestamp", F.lit(REASON).alias("reason"), "country")
+
+
+def login_anomalies(
+    enriched: DataFrame, lookback: str = "7 days", min_gap: str = "1 second"
+) -> DataFrame:
+    """J-6: logins without one of the same user and country between ``lookback`` and ``min_gap``
+    earlier, both ends included. An unknown country never counts as seen, so it always fires.
+
+    Logins first shrink to cells (``min_gap`` wide) with their first and last time, a count
+    bounded by time and not by traffic; only cells that can still hold an anomaly, normally a
+    small part, meet the logins again. Logins of unknown country pass by without a shuffle.
+    ``enriched`` is read three times, so it should be a stored table.
+    """
+    gap, reach = times.interval_micros(min_gap), times.interval_micros(lookback)
+    keys = ["user_id", "country", "_cell"]
+    known = enriched.filter("country IS NOT NULL AND user_id IS NOT NULL")
+    placed = known.withColumn("_us", F.unix_micros("timestamp")).withColumn(
+        "_cell", times.floor_div(F.col("_us"), gap)
+    )
+    cells = placed.groupBy(*keys).agg(F.min("_us").alias("first_us"), F.max("_us").alias("last_us"))
+    fired = placed.join(open_cells(cells, gap, reach).drop("first_us", "last_us"), keys).filter(
+        unseen(F.col("_us"), gap, reach)
     )
+    shown = fired.select("user_id", "timestamp", F.lit(REASON).alias("reason"), "country")
+    return shown.unionAll(nowhere(enriched))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.functions.encoders import Encoder, hashing_encoder
 
 BATCH = 100  # fixed value: texts per encoder call
-MOST_NEIGHBOURS = 100_000  # winners are broadcast; this many ids stay below a few megabytes
 
 
 def embed(make_encoder: Callable[[], Encoder] = hashing_encoder) -> Callable[[Column], Column]:
@@ -49,8 +48,8 @@ def new_embeddings(
 
 
 def write_back(reviews: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """J-7, SNK-9: reviews with the made embeddings filled in."""
-    new = embeddings.select("review_id", F.col("embedding").alias("_new"))
+    """J-7, SNK-9: reviews with the made embeddings filled in, one row per review."""
+    new = embeddings.groupBy("review_id").agg(F.max("embedding").alias("_new"))
     return reviews.join(new, "review_id", "left").select(
         *[
             F.coalesce("_new", "review_embedding").alias(c) if c == "review_embedding" else F.col(c)
@@ -99,11 +98,11 @@ def nearest(
     Exact over the whole corpus: every task scores its Arrow batches with one matrix product and
     hands on its best k, so k rows per task reach the final sort. Only id and vector pass through
     Python; the other columns (of ``details``, by default the corpus) are fetched for the k
-    winners by a join that broadcasts k rows. Vectors without a distance (NULL, zero, wrong
+    winners by a join that the planner chooses by their number. Vectors without a distance (NULL, zero, wrong
     length) come last; ties go to the smaller id.
     """
-    if not 1 <= k <= MOST_NEIGHBOURS:
-        raise ValueError(f"k must lie between 1 and {MOST_NEIGHBOURS}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     kind = corpus.schema[id_column].dataType.simpleString()
     probe = np.asarray(query, dtype=np.float64)
     length = np.linalg.norm(probe)
@@ -130,7 +129,7 @@ def nearest(
     source = corpus if details is None else details
     rest = [c for c in source.columns if c not in (id_column, vector_column)]
     if rest:
-        winners = source.select(id_column, *rest).join(F.broadcast(winners), id_column)
+        winners = source.select(id_column, *rest).join(winners, id_column)
     return winners.select(id_column, *rest, "distance").orderBy(
         F.col("distance").asc_nulls_last(), id_column
     )

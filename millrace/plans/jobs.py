@@ -5,13 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from millrace import schemas
-from millrace.functions.encoders import Encoder, hashing_encoder
-from millrace.operators import gold, segments, silver, vectors
+from millrace.functions.encoders import Encoder
+from millrace.operators import changes, gold, segments, silver, vectors
 from millrace.operators.latest import latest_by_key
-from millrace.sources.relational import Source, read_incremental
+from millrace.session import scratch_dir
+from millrace.sources.relational import Source, last_cursor, read_incremental
 from millrace.streaming import changes as change_streams
 from millrace.streaming import logins as login_streams
 from millrace.streaming.pageviews import ingest_pageviews
@@ -64,10 +65,16 @@ def load_table(store: Store, source: Source, table: str, partitions: int, lookba
     rows = read_incremental(source, table, target, partitions=partitions, lookback=lookback)
     if rows is None:
         return 0
-    fitting, refused = schemas.conform(rows, name)
-    # Refused rows go first: once the others are stored, the cursor has passed them all.
-    if schemas.may_reject(rows, name):
-        store.write(refused, "bronze.rejected_rows")
+    # The source is read once: what both writes see is this copy, whatever is committed meanwhile.
+    path = scratch_dir(store.spark, f"staged-{table}")
+    rows.write.parquet(path)
+    staged = store.spark.read.schema(rows.schema).parquet(path)
+    fitting, refused = schemas.conform(staged, name)
+    # Refused rows go first: once the others are stored, the cursor has passed them all. Their run is named
+    # after the cursor it began at, so a repeated run replaces them.
+    if schemas.may_reject(staged, name):
+        run = F.xxhash64(F.lit(name), F.lit(last_cursor(target, "updated_at", lookback)))
+        store.write(refused.withColumn("batch_id", run), "bronze.rejected_rows")
     return write_logged(store, fitting, name, "append")
 
 
@@ -166,26 +173,34 @@ def watch_logins(
 
 
 def follow_purchases(store: Store, messages: DataFrame, checkpoints: str) -> None:
-    """JOB-7."""
+    """JOB-7: the log, and the newest versions that the dashboards read."""
     change_streams.ingest_purchase_changes(store, messages, f"{checkpoints}/purchases")
+    change_streams.keep_newest(store)
 
 
-def follow_items(store: Store, messages: DataFrame, checkpoints: str) -> None:
-    """JOB-8."""
-    change_streams.ingest_item_changes(store, messages, f"{checkpoints}/items")
+def follow_items(
+    store: Store, messages: DataFrame, checkpoints: str, destination: str = "items"
+) -> None:
+    """JOB-8: messages of several topics may come together; those whose topic leads elsewhere than to
+    ``destination`` are left to other runs (SNK-7). Messages without a topic all belong here."""
+    if "topic" in messages.columns:
+        messages = messages.filter(changes.destination_of(F.col("topic")) == destination)
+    change_streams.ingest_item_changes(store, messages, f"{checkpoints}/{destination}")
 
 
-def embed_reviews(store: Store, make_encoder: Callable[[], Encoder] = hashing_encoder) -> int:
-    """JOB-9: make the missing embeddings and return their number; without work nothing is
-    written. An error leaves no part of the run behind."""
+def embed_reviews(store: Store, make_encoder: Callable[[], Encoder]) -> int:
+    """JOB-9: make the missing embeddings, write them back to the reviews and return their number. An error
+    leaves no part of the run behind. Runs that overlap may make an embedding twice; one is used."""
     made = store.read("rt.review_embeddings") if store.exists("rt.review_embeddings") else None
-    todo = vectors.without_embedding(store.read("rt.reviews"), made)
-    todo = todo.filter("review IS NOT NULL")
-    if todo.isEmpty():
-        return 0
-    return write_logged(
+    reviews = store.read("rt.reviews")
+    todo = vectors.without_embedding(reviews, made).filter("review IS NOT NULL")
+    written = write_logged(
         store, vectors.new_embeddings(todo, make_encoder), "rt.review_embeddings", "append"
     )
+    if written:
+        filled = vectors.write_back(reviews, store.read("rt.review_embeddings"))
+        store.write(filled, "rt.reviews", mode="replace")
+    return written
 
 
 def full_run(store: Store, source: Source, pageviews: str, checkpoints: str) -> None:

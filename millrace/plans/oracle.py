@@ -300,9 +300,21 @@ STATEMENTS = {
         FROM documents_latest""",
     "logins_enriched": "SELECT * FROM logins_geo",
     "login_anomalies": _ANOMALY,
-    "login_anomalies_stream": f"""
-        SELECT DISTINCT * FROM ({_ANOMALY})
-        WHERE timestamp <= (SELECT max(timestamp) - INTERVAL '5' SECOND FROM logins_geo)""",
+    "login_anomalies_stream": _ANOMALY,
+    "logins_enriched_many_prefixes": """
+        SELECT event_id, user_id, timestamp, ip, platform,
+          CASE WHEN lower(device) LIKE '%iphone%' OR lower(device) LIKE '%android%'
+            THEN 'mobile' ELSE 'desktop' END AS device_type,
+          concat('c', length(ip_prefix)) AS country, ip_prefix AS city
+        FROM logins JOIN (SELECT ip AS ip_prefix FROM logins
+            UNION SELECT substr(ip, 1, 7) FROM logins) AS p ON starts_with(ip, ip_prefix)""",
+    "login_log_upserted": "SELECT DISTINCT user_id, timestamp FROM logins_geo",
+    "login_errors_stream": """
+        SELECT 'unreadable time' AS _error, concat('{"user_id":"', user_id,
+            '","timestamp":"no time ', event_id, '","ip":"', ip, '","device":"', device,
+            '","platform":"', platform, '"}') AS _raw_message,
+          (SELECT count(*) FROM logins WHERE event_id % 100 <> 7) AS good
+        FROM logins WHERE event_id % 100 = 7""",
     "quality_report": """
         SELECT 'users' AS table_name, 'id_not_null' AS rule,
           count(*) FILTER (id IS NULL) AS failed, count(*) AS total FROM silver_users
@@ -325,8 +337,42 @@ STATEMENTS = {
           SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) AS place
           FROM user_versions) WHERE place = 1""",
     "incremental_ingest": """
-        SELECT id, user_id, item_id, quantity, CAST(purchase_price AS DOUBLE) AS purchase_price,
-          created_at, updated_at FROM purchase_events""",
+        SELECT 'purchases' AS table_name, id, created_at, updated_at FROM purchase_events
+        WHERE id % 50 <> 9
+        UNION ALL SELECT 'users', id, created_at, updated_at FROM users
+        UNION ALL SELECT 'items', id, created_at, updated_at FROM items""",
+    "rejected_rows": """
+        SELECT 'bronze.purchases' AS table_name, id FROM purchase_events WHERE id % 50 = 9""",
+    "full_run_gold": _CONVERTING.format(viewers="count(*)", buyers="count(*)"),
+    "segments_job": """
+        SELECT engagement_segment, count(*) AS users, CAST(sum(total_pageviews) AS BIGINT) AS pageviews FROM (
+          SELECT CASE WHEN n >= 50 AND idle <= 3 THEN 'high_engagement'
+               WHEN n BETWEEN 10 AND 49 AND idle <= 7 THEN 'medium_engagement'
+               ELSE 'low_engagement' END AS engagement_segment, n AS total_pageviews
+          FROM (SELECT u.id, count(v.page) AS n,
+              date_diff('day', max(CAST(v.received_at AS DATE)), DATE '2024-01-31') AS idle
+            FROM silver_users u LEFT JOIN item_views v ON u.id = v.user_id
+            WHERE u.valid_email GROUP BY u.id))
+        GROUP BY engagement_segment""",
+    "pageviews_source_files": """
+        SELECT count(*) AS pageviews, count(*) AS with_file, count(*) AS with_time FROM pageviews""",
+    "purchases_kept_newest": _LATEST,
+    "purchases_equal_times": """
+        SELECT id, 1 AS quantity FROM changes WHERE _error = ''
+          AND campaign_id IS DISTINCT FROM 'BOGO23'""",
+    "item_documents_equal_times": """
+        SELECT id, concat('a ', name) AS name FROM item_rows WHERE __op = 'r'""",
+    "item_errors_stream": """
+        SELECT 'decode error' AS _error, concat('{"op":"u","after":{"id":', id) AS _raw_message,
+          (SELECT count(*) FROM item_rows) AS good
+        FROM item_rows WHERE id % 100 = 3""",
+    "logins_enriched_geo_csv": "SELECT * FROM logins_geo",
+    "anomaly_messages": f"""
+        SELECT concat('{{"user_id":"', user_id, '","timestamp":"', shown, '"}}') AS key,
+          concat('{{"user_id":"', user_id, '","timestamp":"', shown, '","reason":"', reason,
+            '","country":"', country, '"}}') AS value
+        FROM (SELECT *, strftime(timestamp, '%Y-%m-%d %H:%M:%S.%g') AS shown FROM ({_ANOMALY}))
+        WHERE country IS NOT NULL""",
     "pageviews_ingest_stream": "SELECT * FROM pageviews",
     "pageviews_dlq": """
         SELECT CASE event_type

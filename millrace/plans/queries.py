@@ -25,14 +25,17 @@ from millrace.operators import (
 from millrace.operators.latest import latest_by_key
 from millrace.plans import jobs
 from millrace.session import prepare, scratch_dir
+from millrace.sources import kafka
 from millrace.sources import shop_tables as shop
+from millrace.sources.files import read_geo, read_logins
 from millrace.sources.relational import ParquetSource
+from millrace.streaming import changes as change_streams
+from millrace.streaming import logins as logins_stream
 from millrace.streaming.pageviews import ingest_pageviews
 from millrace.tables import Store
 
 AS_OF = "2024-01-31"
 SPLIT_AT = "2024-01-16"  # first load of the incremental query ends here
-LOGINS_PER_DROP = 500_000_000
 SEARCH_TEXT = "the support team answered quickly and solved my problem"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,22 +153,57 @@ def rt_purchase_errors(spark, folder):
     return changes.purchase_errors(shop.purchase_changes(spark, folder))
 
 
-def _live_purchases(spark: SparkSession, folder: str) -> DataFrame:
-    return changes.latest_purchases(
-        changes.valid_purchases(shop.purchase_changes(spark, folder)), dashboard.NEEDED
+def _kept_purchases(spark: SparkSession, folder: str) -> Store:
+    """The purchase log as a store with kept newest versions: first versions in one batch, which is
+    folded, then the second ones, which are not yet."""
+    store = Store(spark, scratch_dir(spark, "purchases"))
+    rows = changes.valid_purchases(shop.purchase_changes(spark, folder)).withColumns(
+        {"log_position": F.monotonically_increasing_id(), "ingested_at": F.current_timestamp()}
     )
+    second = F.col("campaign_id") == "BOGO23"
+    store.write(rows.filter(~second), "rt.purchases", batch_id=0)
+    change_streams.keep_newest(store)
+    store.write(rows.filter(second), "rt.purchases", batch_id=1)
+    return store
 
 
 def hourly_sales_24h(spark, folder):
-    return dashboard.hourly_sales(_live_purchases(spark, folder), AS_OF)
+    store = _kept_purchases(spark, folder)
+    since = dashboard.since(AS_OF)
+    return dashboard.hourly_sales(change_streams.newest_purchases(store, since), AS_OF)
 
 
 def top_products(spark, folder):
-    return dashboard.top_products(_live_purchases(spark, folder))
+    newest = change_streams.newest_purchases(_kept_purchases(spark, folder))
+    return dashboard.top_products(newest.select(*dashboard.NEEDED))
 
 
 def kpis(spark, folder):
-    return dashboard.kpis(_live_purchases(spark, folder))
+    newest = change_streams.newest_purchases(_kept_purchases(spark, folder))
+    return dashboard.kpis(newest.select(*dashboard.NEEDED))
+
+
+def purchases_kept_newest(spark, folder):
+    """The kept table after the second fold."""
+    store = _kept_purchases(spark, folder)
+    change_streams.keep_newest(store)
+    return store.read("rt.purchases_newest").drop("created_month", "log_position", "last_batch")
+
+
+def purchases_equal_times(spark, folder):
+    """Every purchase is changed twice at the same instant; the later message in the log wins."""
+    first = changes.valid_purchases(shop.purchase_changes(spark, folder)).filter("campaign_id <> 'BOGO23'")
+    log = first.withColumn("log_position", F.explode(F.array(F.lit(1), F.lit(2))))
+    numbered = log.withColumn("quantity", F.when(F.col("log_position") == 2, 1).otherwise(900))
+    return changes.latest_purchases(numbered, ["id", "quantity"])
+
+
+def item_documents_equal_times(spark, folder):
+    """Changes of an item within one millisecond: the place in the log decides, not the name."""
+    rows = shop.item_changes(spark, folder).filter("__op = 'r'")
+    log = rows.withColumn("log_position", F.explode(F.array(F.lit(1), F.lit(2))))
+    named = log.withColumn("name", F.concat(F.when(F.col("log_position") == 2, "a ").otherwise("z "), "name"))
+    return changes.item_documents(named, ["id", "name"])
 
 
 def item_documents(spark, folder):
@@ -181,8 +219,43 @@ def logins_enriched(spark, folder):
     return logins.enrich_logins(shop.logins(spark, folder), shop.geo(spark))
 
 
+def logins_enriched_geo_csv(spark, folder):
+    """SRC-6: prefixes from a CSV file with a comment and a line that is too long."""
+    base = scratch_dir(spark, "geo")
+    lines = ["# prefixes", "ip_prefix,country,city", *(",".join(r) for r in shop.GEO_ROWS), "1,2,3,4,5"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{base}/in")
+    found = logins.enrich_logins(shop.logins(spark, folder), read_geo(spark, f"{base}/in"))
+    return found
+
+
+def anomaly_messages(spark, folder):
+    """SNK-6: anomalies as keyed JSON messages for an upsert topic."""
+    found = login_anomalies(spark, folder).filter("country IS NOT NULL")
+    shown = found.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss.SSS"))
+    return kafka.as_messages(shown, ["user_id", "timestamp"])
+
+
+def logins_enriched_many_prefixes(spark, folder):
+    """Thousands of prefixes, derived from the logins' own addresses."""
+    events = shop.logins(spark, folder)
+    return logins.enrich_logins(events, shop.many_prefixes(events))
+
+
 def login_anomalies(spark, folder):
-    return logins.login_anomalies(logins_enriched(spark, folder))
+    """Over the stored enriched logins, so that they are enriched once."""
+    store = Store(spark, scratch_dir(spark, "logins"))
+    store.write(logins_enriched(spark, folder), "rt.login_events_enriched", batch_id=0)
+    return logins.login_anomalies(store.read("rt.login_events_enriched"))
+
+
+def login_log_upserted(spark, folder):
+    """SNK-6: the login log written twice, as after a retried job, seen as a keyed table."""
+    store = Store(spark, scratch_dir(spark, "logins"))
+    rows = logins_enriched(spark, folder)
+    for n in range(2):
+        store.write(rows.filter(F.col("event_id") % (n + 1) == 0), "rt.login_events_enriched", batch_id=n)
+    kept = logins.upserted(store.read("rt.login_events_enriched"))
+    return kept.select("user_id", "timestamp")
 
 
 def quality_report(spark, folder):
@@ -203,18 +276,70 @@ def latest_users(spark, folder):
     return latest_by_key(shop.user_versions(spark, folder), "id", "updated_at")
 
 
-def incremental_ingest(spark, folder):
-    """Two loads of a growing source; the second one starts at the first one's cursor."""
+def _loaded(spark: SparkSession, folder: str) -> Store:
+    """Two loads of three growing tables; the second one starts at the first one's cursor. Every fiftieth
+    purchase has a price beyond the declared type."""
     base = scratch_dir(spark, "incremental")
     store = Store(spark, f"{base}/store")
-    whole = shop.purchase_events(spark, folder)
-    whole.write.parquet(f"{base}/now/purchases")
-    early = spark.read.parquet(f"{base}/now/purchases").filter(F.col("updated_at") < SPLIT_AT)
-    early.write.parquet(f"{base}/earlier/purchases")
+    too_much = F.when(F.col("id") % 50 == 9, F.lit(10**11)).otherwise(F.col("purchase_price"))
+    tables = {
+        "users": shop.users(spark, folder),
+        "items": shop.items(spark, folder),
+        "purchases": shop.purchase_events(spark, folder).withColumn(
+            "purchase_price", too_much.cast("decimal(20,2)")
+        ),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{base}/now/{name}")
+        early = spark.read.parquet(f"{base}/now/{name}").filter(F.col("updated_at") < SPLIT_AT)
+        early.write.parquet(f"{base}/earlier/{name}")
     for state in ("earlier", "now"):
-        jobs.load_tables(store, ParquetSource(spark, f"{base}/{state}"), ["purchases"])
-    return store.read("bronze.purchases").select(
-        "id", "user_id", "item_id", "quantity", "purchase_price", "created_at", "updated_at"
+        jobs.load_tables(store, ParquetSource(spark, f"{base}/{state}"))
+    return store
+
+
+def incremental_ingest(spark, folder):
+    columns = ["id", "created_at", "updated_at"]
+    store = _loaded(spark, folder)
+    each = [
+        store.read(f"bronze.{name}").select(F.lit(name).alias("table_name"), *columns)
+        for name in jobs.RELATIONAL_TABLES
+    ]
+    return each[0].unionAll(each[1]).unionAll(each[2])
+
+
+def rejected_rows(spark, folder):
+    rows = _loaded(spark, folder).read("bronze.rejected_rows")
+    return rows.select("table_name", F.get_json_object("raw_record", "$.id").cast("bigint").alias("id"))
+
+
+def _full_run(spark: SparkSession, folder: str) -> Store:
+    """JOB-10 over the shop's tables as a relational source and pageviews as JSON files."""
+    base = scratch_dir(spark, "full-run")
+    store = Store(spark, f"{base}/store")
+    for name, rows in (
+        ("users", shop.users(spark, folder)),
+        ("items", shop.items(spark, folder)),
+        ("purchases", shop.purchase_events(spark, folder)),
+    ):
+        rows.write.parquet(f"{base}/source/{name}")
+    _pageview_files(spark, folder, f"{base}/in")
+    jobs.full_run(store, ParquetSource(spark, f"{base}/source"), f"{base}/in", f"{base}/checkpoints")
+    return store
+
+
+def full_run_gold(spark, folder):
+    """SNK-2, JOB-2 to JOB-4, JOB-10: the conversion table at the end of a full run."""
+    return _full_run(spark, folder).read("gold.top_converting_items")
+
+
+def segments_job(spark, folder):
+    """JOB-5 over the silver tables of a full run: segments per label."""
+    store = _full_run(spark, folder)
+    jobs.segment_users(store, AS_OF, scratch_dir(spark, "segments"))
+    made = store.read("gold.user_engagement_segments")
+    return made.groupBy("engagement_segment").agg(
+        F.count("*").alias("users"), F.sum("total_pageviews").alias("pageviews")
     )
 
 
@@ -247,6 +372,17 @@ def pageviews_ingest_stream(spark, folder):
     )
 
 
+def pageviews_source_files(spark, folder):
+    """P-9: every stored pageview names the file it came from and the time it came."""
+    rows = _ingested(spark, folder, "bronze.pageviews")
+    file = F.regexp_extract("source_file", r"/in/part-[^/]+\.txt$", 0) != ""
+    return rows.agg(
+        F.count("*").alias("pageviews"),
+        F.count(F.when(file, 1)).alias("with_file"),
+        F.count("ingested_at").alias("with_time"),
+    )
+
+
 def pageviews_dlq(spark, folder):
     return _ingested(spark, folder, "bronze.pageviews_dlq").select("raw_record", "user_id", "url")
 
@@ -274,56 +410,73 @@ def rt_purchase_errors_stream(spark, folder):
     return log.select("_error", "_raw_message")
 
 
-def item_documents_stream(spark, folder):
-    """Item changes as envelopes: the row sits in ``before`` for a delete, else in ``after``."""
+def _followed_items(spark: SparkSession, folder: str) -> Store:
+    """Item changes as envelopes on a topic: the row sits in ``before`` for a delete, else in ``after``.
+    Every hundredth message is cut off, and messages of another topic lie between."""
     base = scratch_dir(spark, "items")
     store = Store(spark, f"{base}/store")
     row = F.struct(
         "id", "name", "category", F.col("price").cast("string").alias("price"), "inventory"
     )
     gone = F.col("__op") == "d"
-    shop.item_changes(spark, folder).select(
-        F.to_json(
+    envelope = F.to_json(
+        F.struct(
+            F.when(gone, row).alias("before"),
+            F.when(~gone, row).alias("after"),
+            F.col("__op").alias("op"),
             F.struct(
-                F.when(gone, row).alias("before"),
-                F.when(~gone, row).alias("after"),
-                F.col("__op").alias("op"),
-                F.struct(
-                    F.col("__table").alias("table"), F.col("__source_ts_ms").alias("ts_ms")
-                ).alias("source"),
-            )
-        ).alias("value")
-    ).write.text(f"{base}/in")
-    jobs.follow_items(store, spark.readStream.text(f"{base}/in"), f"{base}/checkpoints")
-    return changes.item_documents(store.read("rt.items")).drop("created_at", "updated_at")
+                F.col("__table").alias("table"), F.col("__source_ts_ms").alias("ts_ms")
+            ).alias("source"),
+        )
+    )
+    sent = shop.item_changes(spark, folder).select("id", "__op", envelope.alias("value"))
+    cut_off = sent.filter("id % 100 = 3").select(F.concat(F.lit('{"op":"u","after":{"id":'), "id").alias("value"))
+    other = sent.select(F.lit("dbz.public.users").alias("topic"), "value")
+    own = sent.select("value").unionAll(cut_off).select(F.lit("dbz.public.items").alias("topic"), "value")
+    own.unionAll(other).write.json(f"{base}/in")
+    messages = spark.readStream.schema("topic STRING, value STRING").json(f"{base}/in")
+    jobs.follow_items(store, messages, f"{base}/checkpoints")
+    return store
 
 
-def login_anomalies_stream(spark, folder):
-    """Logins arrive in drops, in time order; each drop is followed by a run to completion.
+def item_documents_stream(spark, folder):
+    log = _followed_items(spark, folder).read("rt.items")
+    return changes.item_documents(log).drop("created_at", "updated_at")
+
+
+def item_errors_stream(spark, folder):
+    """Unreadable item messages, with the number of readable ones."""
+    store = _followed_items(spark, folder)
+    good = store.read("rt.items").agg(F.count("*").alias("good"))
+    return store.read("rt.items_errors").select("_error", "_raw_message").join(F.broadcast(good))
 
-    The number of drops grows with the table, so one run holds a bounded number of undecided
-    logins. The last logins stay undecided until the watermark passes them.
-    """
+
+def login_anomalies_stream(spark, folder):
+    """All logins as one backlog of files, then a login far later that lets the watermark pass them."""
     base = scratch_dir(spark, "logins")
     store = Store(spark, f"{base}/store")
     rows = shop.logins(spark, folder)
-    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
-    first, last, total = rows.agg(F.min(at), F.max(at), F.count(at)).first()
-    drops = max(2, -(-total // LOGINS_PER_DROP))
-    number = F.width_bucket(at, F.lit(first), F.lit(last + 1), F.lit(drops))
-    numbered = rows.withColumn("drop", number).hint("rebalance", "drop")
-    numbered.write.partitionBy("drop").json(f"{base}/drops")
-    stored = spark.read.schema(numbered.schema).json(f"{base}/drops")
-    for n in range(1, drops + 1):
-        stored.filter(F.col("drop") == n).drop("drop").write.mode("append").json(f"{base}/in")
-        jobs.watch_logins(
-            store,
-            spark.readStream.schema(rows.schema).json(f"{base}/in"),
-            shop.geo(spark),
-            f"{base}/checkpoints",
-            state_partitions=spark.sparkContext.defaultParallelism,
-        )
-    return store.read("rt.login_anomalies").select("user_id", "timestamp", "reason", "country")
+    closing = rows.limit(1).withColumns(
+        {"user_id": F.lit("closing"), "timestamp": F.lit("2999-01-01T00:00:00.000Z")}
+    )
+    watch = {"geo": shop.geo(spark), "checkpoints": f"{base}/checkpoints"}
+    for drop in (rows, closing):
+        drop.write.mode("append").json(f"{base}/in")
+        jobs.watch_logins(store, read_logins(spark, f"{base}/in"), **watch)
+    found = logins_stream.read_anomalies(store)
+    return found.filter(~F.col("user_id").eqNullSafe("closing"))
+
+
+def login_errors_stream(spark, folder):
+    """Every hundredth login has a time that cannot be read."""
+    base = scratch_dir(spark, "logins")
+    store = Store(spark, f"{base}/store")
+    broken = F.when(F.col("event_id") % 100 == 7, F.concat(F.lit("no time "), "event_id"))
+    rows = shop.logins(spark, folder).withColumn("timestamp", F.coalesce(broken, "timestamp"))
+    rows.select("user_id", "timestamp", "ip", "device", "platform").write.json(f"{base}/in")
+    jobs.watch_logins(store, read_logins(spark, f"{base}/in"), shop.geo(spark), f"{base}/checkpoints")
+    good = store.read("rt.login_events_enriched").agg(F.count("*").alias("good"))
+    return store.read("rt.login_errors").select("_error", "_raw_message").join(F.broadcast(good))
 
 
 def _as_millionths(name: str) -> Column:
@@ -344,9 +497,10 @@ def embedding_write_back(spark, folder):
     store = Store(spark, scratch_dir(spark, "reviews"))
     reviews = shop.reviews(spark, folder)
     store.write(reviews, "rt.reviews")
-    jobs.embed_reviews(store)
-    filled = vectors.write_back(store.read("rt.reviews"), store.read("rt.review_embeddings"))
-    return filled.select("review_id", "review", _as_millionths("review_embedding"))
+    jobs.embed_reviews(store, vectors.hashing_encoder)
+    return store.read("rt.reviews").select(
+        "review_id", "review", _as_millionths("review_embedding")
+    )
 
 
 def similar_vectors_top5(spark, folder):
@@ -390,19 +544,32 @@ ALL: dict[str, Query] = {
     "hourly_sales_24h": hourly_sales_24h,
     "top_products": top_products,
     "kpis": kpis,
+    "purchases_equal_times": purchases_equal_times,
+    "purchases_kept_newest": purchases_kept_newest,
     "item_documents": item_documents,
+    "item_documents_equal_times": item_documents_equal_times,
     "item_document_count": item_document_count,
     "logins_enriched": logins_enriched,
+    "logins_enriched_geo_csv": logins_enriched_geo_csv,
+    "logins_enriched_many_prefixes": logins_enriched_many_prefixes,
     "login_anomalies": login_anomalies,
+    "anomaly_messages": anomaly_messages,
+    "login_log_upserted": login_log_upserted,
     "quality_report": quality_report,
     "latest_by_key": latest_users,
     "incremental_ingest": incremental_ingest,
+    "segments_job": segments_job,
+    "full_run_gold": full_run_gold,
+    "rejected_rows": rejected_rows,
     "pageviews_ingest_stream": pageviews_ingest_stream,
     "pageviews_dlq": pageviews_dlq,
+    "pageviews_source_files": pageviews_source_files,
     "rt_purchases_stream": rt_purchases_stream,
     "rt_purchase_errors_stream": rt_purchase_errors_stream,
     "item_documents_stream": item_documents_stream,
+    "item_errors_stream": item_errors_stream,
     "login_anomalies_stream": login_anomalies_stream,
+    "login_errors_stream": login_errors_stream,
     "review_embeddings": review_embeddings,
     "embedding_write_back": embedding_write_back,
     "similar_vectors_top5": similar_vectors_top5,

@@ -42,7 +42,7 @@ def _by_category(ddl: str) -> Table:
     return Table(ddl, ("category_key",), {"category_key": "category"})
 
 
-# Shapes of incoming messages, as DDL text so that importing needs no session.
+# Shapes of incoming messages, as DDL text so that importing needs no session.
 PAGEVIEW_EVENT = (
     "user_id BIGINT, url STRING, channel STRING, received_at BIGINT, _corrupt_record STRING"
 )
@@ -63,6 +63,7 @@ LOGIN_EVENT = (
 )
 GEO_PREFIX = "ip_prefix STRING, country STRING, city STRING"
 
+# Columns and partitions of the declared tables.
 TABLES: dict[str, Table] = {
     "bronze.users": _by_day(
         "id BIGINT, first_name STRING, last_name STRING, email STRING, "
@@ -92,7 +93,9 @@ TABLES: dict[str, Table] = {
         "url STRING",
         log=True,
     ),
-    "bronze.rejected_rows": Table("table_name STRING, raw_record STRING, ingested_at TIMESTAMP"),
+    "bronze.rejected_rows": Table(
+        "table_name STRING, raw_record STRING, ingested_at TIMESTAMP", log=True
+    ),
     "silver.users": _by_day(
         "id BIGINT, first_name STRING, last_name STRING, email STRING, created_at TIMESTAMP, "
         "updated_at TIMESTAMP, valid_email BOOLEAN, full_name STRING",
@@ -135,11 +138,19 @@ TABLES: dict[str, Table] = {
     "rt.purchases": Table(
         "id BIGINT, user_id BIGINT, item_id BIGINT, campaign_id STRING, status SMALLINT, "
         "quantity INT, purchase_price DECIMAL(12,2), deleted BOOLEAN, created_at TIMESTAMP, "
-        "updated_at TIMESTAMP, ingested_at TIMESTAMP",
+        "updated_at TIMESTAMP, log_position BIGINT, ingested_at TIMESTAMP",
         ("created_month",),
         {"created_month": "date_format(created_at, 'yyyyMM')"},
         log=True,
     ),
+    # The newest version of every purchase up to a batch of the log; last_batch names it.
+    "rt.purchases_newest": Table(
+        "id BIGINT, user_id BIGINT, item_id BIGINT, campaign_id STRING, status SMALLINT, "
+        "quantity INT, purchase_price DECIMAL(12,2), deleted BOOLEAN, created_at TIMESTAMP, "
+        "updated_at TIMESTAMP, log_position BIGINT, last_batch BIGINT",
+        ("created_month",),
+        {"created_month": "date_format(created_at, 'yyyyMM')"},
+    ),
     # No day partition: a batch replayed after midnight must land in the same place.
     "rt.purchases_errors": Table(
         "_error STRING, _raw_message STRING, ingested_at TIMESTAMP", log=True
@@ -147,9 +158,12 @@ TABLES: dict[str, Table] = {
     "rt.items": Table(
         "id BIGINT, name STRING, category STRING, price DECIMAL(10,2), inventory INT, "
         "created_at TIMESTAMP, updated_at TIMESTAMP, __op STRING, __table STRING, "
-        "__source_ts_ms BIGINT, __deleted BOOLEAN",
+        "__source_ts_ms BIGINT, __deleted BOOLEAN, log_position BIGINT",
         log=True,
     ),
+    "rt.items_errors": Table(
+        "_error STRING, _raw_message STRING, ingested_at TIMESTAMP", log=True
+    ),
     "rt.login_events_enriched": _by_day(
         "user_id STRING, timestamp TIMESTAMP, ip STRING, platform STRING, device_type STRING, "
         "country STRING, city STRING",
@@ -157,12 +171,29 @@ TABLES: dict[str, Table] = {
         "event_day",
         log=True,
     ),
-    "rt.login_anomalies": _by_day(
+    "rt.login_errors": Table(
+        "_error STRING, _raw_message STRING, ingested_at TIMESTAMP", log=True
+    ),
+    # Anomalies of logins without a country, and of logins from a country new to their user.
+    "rt.login_unknown": _by_day(
+        "user_id STRING, timestamp TIMESTAMP, reason STRING, country STRING",
+        "timestamp",
+        "event_day",
+        log=True,
+    ),
+    "rt.login_new_country": _by_day(
         "user_id STRING, timestamp TIMESTAMP, reason STRING, country STRING",
         "timestamp",
         "event_day",
         log=True,
     ),
+    # The closed seconds that later logins are compared with.
+    "rt.login_cells": _by_day(
+        "user_id STRING, country STRING, second TIMESTAMP, instants ARRAY<BIGINT>",
+        "second",
+        "event_day",
+        log=True,
+    ),
     "rt.reviews": Table(
         "review_id BIGINT, customer_name STRING, customer_email STRING, date DATE, review STRING, "
         "review_embedding ARRAY<FLOAT>"

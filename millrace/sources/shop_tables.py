@@ -192,6 +192,15 @@ def geo(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(GEO_ROWS, "ip_prefix STRING, country STRING, city STRING")
 
 
+def many_prefixes(events: DataFrame) -> DataFrame:
+    """A prefix for every address that logins came from, and one for its first seven characters."""
+    return (
+        events.select(F.explode(F.array("ip", F.substring("ip", 1, 7))).alias("ip_prefix"))
+        .distinct()
+        .selectExpr("ip_prefix", "concat('c', length(ip_prefix)) AS country", "ip_prefix AS city")
+    )
+
+
 def reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews that still lack an embedding."""
     return load(spark, folder, "documents").selectExpr(

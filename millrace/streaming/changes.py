@@ -22,35 +22,75 @@ def ingest_purchase_changes(store: Store, messages: DataFrame, checkpoint: str)
         rows = changes.purchase_errors(batch).withColumn("ingested_at", F.current_timestamp())
         store.write(rows, "rt.purchases_errors", batch_id=n)
 
-    decoded = changes.decode_changes(messages, limits=changes.PURCHASE_LIMITS)
-    run_stream(decoded, shared_scan(good, bad), checkpoint)
+    def decode(batch: DataFrame) -> DataFrame:
+        return changes.decode_changes(batch, limits=changes.PURCHASE_LIMITS)
+
+    run_stream(messages, shared_scan(good, bad, prepare=decode), checkpoint)
 
 
 def ingest_item_changes(store: Store, messages: DataFrame, checkpoint: str) -> None:
-    """SRC-4, P-22: change envelopes as JSON text in ``value`` into the item log."""
+    """SRC-4, P-22: change envelopes as JSON text in ``value`` into the item log, unreadable ones into the
+    error table."""
 
-    def write(batch: DataFrame, n: int) -> None:
-        envelope = F.from_json("value", schemas.ITEM_ENVELOPE)
-        rows = batch.filter(F.col("value").isNotNull()).select(envelope.alias("c")).select("c.*")
-        flat = changes.typed_items(changes.flatten_changes(rows))
+    def good(batch: DataFrame, n: int) -> None:
+        rows = batch.filter(F.col("_error") == "")
         store.write(
-            flat.withColumn("__deleted", F.col("__deleted").cast("boolean")),
-            "rt.items",
-            batch_id=n,
+            rows.withColumn("__deleted", F.col("__deleted").cast("boolean")), "rt.items", batch_id=n
         )
 
-    run_stream(messages, write, checkpoint)
+    def bad(batch: DataFrame, n: int) -> None:
+        rows = changes.purchase_errors(batch).withColumn("ingested_at", F.current_timestamp())
+        store.write(rows, "rt.items_errors", batch_id=n)
+
+    run_stream(messages, shared_scan(good, bad, prepare=changes.decode_items), checkpoint)
+
 
+LOG, NEWEST = "rt.purchases", "rt.purchases_newest"
 
-def compact(store: Store, name: str, key: str, version: str) -> None:
-    """W-3: rewrite a log to the newest version per key. Run it while no stream writes the log,
-    and not on a log that is itself read as a stream: its rows would arrive there once more.
 
-    Rows keep their batch number, so a later replay of a batch only brings back versions that the
-    newest-version view discards again.
+def _kept_and_later(store: Store) -> tuple[DataFrame | None, DataFrame]:
+    """The kept newest versions, if there are any, and the part of the log that came after them."""
+    log = store.read(LOG)
+    if not store.exists(NEWEST):
+        return None, log
+    kept = store.read(NEWEST)
+    last = kept.agg(F.max("last_batch")).first()[0]
+    return kept, log if last is None else log.filter(F.col("batch_id") > last)
+
+
+def newest_purchases(store: Store, since: str | None = None) -> DataFrame:
+    """W-3: the newest version of every purchase, from the kept ones and the later log.
+
+    A kept row stands unless the later log has its id; only those few ids are reduced again.
+    ``since`` (a time) leaves out purchases made before; it reaches the partitions of the kept ones.
     """
-    log = store.read(name)
-    newest = changes.latest_by_key(
-        log, key, [version, "batch_id"], [*schemas.TABLES[name].schema.names, "batch_id"]
-    )
-    store.write(newest, name, mode="replace")
+    kept, later = _kept_and_later(store)
+    names = [c for c in schemas.TABLES[NEWEST].schema.names if c != "last_batch"]
+    log = later.select(*names, "batch_id")
+    if kept is None:
+        found = changes.latest_purchases(log)
+    else:
+        touched = log.select("id").distinct()
+        again = kept.join(touched, "id", "left_semi").withColumn("batch_id", F.col("last_batch"))
+        moved = changes.latest_purchases(log.unionByName(again.select(*log.columns)))
+        if since is not None:
+            month = F.date_format(F.lit(since).cast("timestamp"), "yyyyMM")
+            kept = kept.filter(F.col("created_month") >= month)
+        still = kept.join(touched, "id", "left_anti")
+        found = still.select(*moved.columns).unionByName(moved)
+    return found if since is None else found.filter(F.col("created_at") >= F.lit(since).cast("timestamp"))
+
+
+def keep_newest(store: Store) -> int:
+    """W-3: fold the later log into the kept newest versions, as one rebalanced copy; the log stays as it
+    is. Returns the number of rows."""
+    kept, later = _kept_and_later(store)
+    names = [c for c in schemas.TABLES[NEWEST].schema.names if c != "last_batch"]
+    last = later.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return 0
+    rows = later.filter(F.col("batch_id") <= last).select(*names, "batch_id")
+    if kept is not None:
+        rows = rows.unionByName(kept.withColumn("batch_id", F.col("last_batch")).select(*rows.columns))
+    newest = changes.latest_by_key(rows, "id", changes.versions_of(rows, "updated_at"), names)
+    return store.write(newest.withColumn("last_batch", F.lit(last)), NEWEST, mode="replace")

@@ -2,116 +2,83 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import times
-from millrace.operators.logins import REASON, enrich_logins
-from millrace.streaming.run import run_stream
+from millrace.operators import logins as rules
+from millrace.streaming.run import run_stream, shared_scan
 from millrace.tables import Store
 
 DELAY = "5 seconds"  # fixed value: how late an event may arrive
 
 
 def ingest_logins(store: Store, logins: DataFrame, geo: DataFrame, checkpoint: str) -> None:
-    """Enrich every batch and add it to the login log."""
-    run_stream(
-        logins,
-        lambda batch, n: store.write(
-            enrich_logins(batch, geo), "rt.login_events_enriched", batch_id=n
-        ),
-        checkpoint,
-    )
+    """Enrich every batch and add it to the login log; a login without a readable time goes to the
+    error table, before any watermark."""
+
+    def good(batch: DataFrame, n: int) -> None:
+        rows = rules.enrich_logins(rules.readable(batch), geo)
+        store.write(rows, "rt.login_events_enriched", batch_id=n)
+
+    def bad(batch: DataFrame, n: int) -> None:
+        rows = rules.unreadable(batch).withColumn("ingested_at", F.current_timestamp())
+        store.write(rows, "rt.login_errors", batch_id=n)
 
+    run_stream(logins, shared_scan(good, bad), checkpoint)
 
-class NewCountry(StatefulProcessor):
-    """Per (user, country): the instants of the last gap and the newest one before them.
 
-    That is all a later login can be compared with. A key is forgotten once ``reach`` has passed
-    since its last login. Times are microseconds.
+def login_cells(enriched: DataFrame, delay: str = DELAY) -> DataFrame:
+    """W-1, W-7: per user, country and second the distinct instants of the logins, once the watermark has
+    passed the second; later logins are dropped and counted by Spark.
+
+    Combined map-side. A second has at most a thousand instants, since times are cut to
+    milliseconds, so a hot user's rows are bounded by time and not by traffic.
     """
+    second = F.window("timestamp", "1 second")
+    return (
+        enriched.filter("country IS NOT NULL AND user_id IS NOT NULL")
+        .withWatermark("timestamp", delay)
+        .groupBy("user_id", "country", second.alias("second"))
+        .agg(F.collect_set(F.unix_micros("timestamp")).alias("instants"))
+        .select(
+            "user_id",
+            "country",
+            F.col("second.start").alias("second"),
+            F.array_sort("instants").alias("instants"),
+        )
+    )
+
+
+def judge(store: Store, n: int) -> DataFrame:
+    """W-2: the anomalies among the cells of batch ``n``, given the kept cells of the seven days before it.
 
-    def __init__(self, gap: int, reach: int):
-        self.gap = gap
-        self.reach = reach
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.recent = handle.getValueState("recent", "instants ARRAY<BIGINT>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        user, country = key
-        stamps = sorted(row["at"] for row in rows)
-        fires = stamps if user is None or country is None else self.judge(stamps)
-        for stamp in fires:
-            yield Row(user_id=user, at=stamp, country=country)
-
-    def judge(self, stamps: list[int]) -> list[int]:
-        """The instants that fire; remembers what later ones need."""
-        known = self.recent.get()
-        if known is None:
-            self.watch(stamps[-1])
-        history = [*(known[0] if known else ()), *stamps]
-        fires = []
-        earlier = -1  # place of the newest instant at least a gap old
-        for stamp in stamps:
-            while history[earlier + 1] <= stamp - self.gap:
-                earlier += 1
-            if earlier < 0 or history[earlier] < stamp - self.reach:
-                fires.append(stamp)
-        self.recent.update((history[max(earlier, 0) :],))
-        return fires
-
-    def watch(self, last: int) -> None:
-        self.handle.registerTimer(int(last + self.reach + self.gap) // 1000 + 1)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        """One timer per key: forget it, or look again when its newer logins have aged too."""
-        known = self.recent.get()
-        if known is not None:
-            last = known[0][-1]
-            if last + self.reach < timerValues.getCurrentWatermarkInMs() * 1000:
-                self.recent.clear()
-            else:
-                self.watch(last)
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def anomaly_stream(
-    enriched: DataFrame,
-    lookback: str = "7 days",
-    min_gap: str = "1 second",
-    delay: str = DELAY,
-) -> DataFrame:
-    """J-6 on a stream: one row per (user_id, timestamp, country) that fires.
-
-    First the logins of one user, country and instant become one row, combined map-side and held
-    until the watermark passes them; this puts them in order, removes late ones (W-7) and bounds
-    what a hot user can send on by time rather than by traffic. Then ``NewCountry`` compares them
-    with a small state per key: no joined pairs.
+    The batch rule does the work: windows over time buckets, no state in Python and no list per
+    key. Cells of later batches are left out, so a replayed batch finds the same.
     """
-    spark = enriched.sparkSession
-    instants = (
-        enriched.withWatermark("timestamp", delay)
-        .groupBy("user_id", "country", "timestamp")
-        .agg(F.count(F.lit(1)).alias("logins"))
-        .select("user_id", "country", "timestamp", F.unix_micros("timestamp").alias("at"))
+    own = store.read("rt.login_cells").filter(F.col("batch_id") == n)
+    start = own.agg(F.min("second") - F.expr("INTERVAL 8 DAYS")).first()[0]
+    if start is None:
+        return own.limit(0).selectExpr(
+            "user_id", "second AS timestamp", "'' AS reason", "country"
+        )
+    kept = store.read("rt.login_cells", since=start.strftime("%Y-%m-%d")).filter(F.col("batch_id") <= n)
+    cells = kept.select(
+        "user_id",
+        "country",
+        times.floor_div(F.unix_micros("second"), rules.MIN_GAP).alias("_cell"),
+        F.element_at("instants", 1).alias("first_us"),
+        F.element_at("instants", -1).alias("last_us"),
+        F.when(F.col("batch_id") == n, F.col("instants")).alias("instants"),
     )
-    fired = instants.groupBy("user_id", "country").transformWithState(
-        NewCountry(times.interval_micros(spark, min_gap), times.interval_micros(spark, lookback)),
-        "user_id STRING, at BIGINT, country STRING",
-        "append",
-        "EventTime",
+    fired = (
+        rules.open_cells(cells)
+        .withColumn("at", F.explode("instants"))
+        .filter(rules.unseen(F.col("at")))
     )
     return fired.select(
         "user_id",
         F.timestamp_micros("at").alias("timestamp"),
-        F.lit(REASON).alias("reason"),
+        F.lit(rules.REASON).alias("reason"),
         "country",
     )
 
@@ -119,10 +86,22 @@ def anomaly_stream(
 def write_anomalies(
     store: Store, enriched: DataFrame, checkpoint: str, state_partitions: int | None = None
 ) -> None:
-    """Add new anomalies to their log; ``enriched`` is the login log read as a stream."""
-    run_stream(
-        anomaly_stream(enriched),
-        lambda batch, n: store.write(batch, "rt.login_anomalies", batch_id=n),
-        checkpoint,
-        state_partitions,
-    )
+    """J-6 on a stream; ``enriched`` is the login log read as a stream, once for the logins of unknown
+    country, which fire at once, and once for the others, whose closed seconds are kept and judged."""
+
+    def unknown(batch: DataFrame, n: int) -> None:
+        store.write(rules.nowhere(batch), "rt.login_unknown", batch_id=n)
+
+    def known(batch: DataFrame, n: int) -> None:
+        store.write(batch, "rt.login_cells", batch_id=n)
+        store.write(judge(store, n), "rt.login_new_country", batch_id=n)
+
+    run_stream(enriched, unknown, f"{checkpoint}/unknown")
+    run_stream(login_cells(enriched), known, f"{checkpoint}/cells", state_partitions)
+
+
+def read_anomalies(store: Store) -> DataFrame:
+    """SNK-6: all anomalies written so far, whichever of the two streams found them."""
+    columns = ["user_id", "timestamp", "reason", "country"]
+    both = [store.read(name).select(*columns) for name in ("rt.login_unknown", "rt.login_new_country") if store.exists(name)]
+    return both[0] if len(both) == 1 else both[0].unionAll(both[1])

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.storagelevel import StorageLevel
 
+_STARTING = threading.Lock()  # streams that start at once must not see each other's setting
+
 
 def run_stream(
     stream: DataFrame,
@@ -20,27 +23,31 @@ def run_stream(
     change afterwards; the session's shuffle partitions by default.
     """
     spark = stream.sparkSession
-    session_partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    if state_partitions is not None:
-        spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
-    try:  # a query keeps the settings it was started with
-        query = (
-            stream.writeStream.outputMode("append")
-            .foreachBatch(write_batch)
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .start()
-        )
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
+    with _STARTING:  # a query keeps the settings it was started with
+        session_partitions = spark.conf.get("spark.sql.shuffle.partitions")
+        if state_partitions is not None:
+            spark.conf.set("spark.sql.shuffle.partitions", state_partitions)
+        try:
+            query = (
+                stream.writeStream.outputMode("append")
+                .foreachBatch(write_batch)
+                .option("checkpointLocation", checkpoint)
+                .trigger(availableNow=True)
+                .start()
+            )
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
     query.awaitTermination()
 
 
-def shared_scan(*writers: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
-    """W-6: feed several writers from one scan of each batch."""
+def shared_scan(
+    *writers: Callable[[DataFrame, int], None],
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """W-6: feed several writers from one scan of each batch, which ``prepare`` changes first."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = (prepare(batch) if prepare else batch).persist(StorageLevel.DISK_ONLY)
         try:
             for writer in writers:
                 writer(kept, batch_id)

@@ -1,8 +1,9 @@
 """Layer tables (SNK-1, SNK-2): partitioned Parquet below one root, or Iceberg in a catalog.
 
-On Parquet a full replacement is written beside the live copy and becomes visible when the
-small ``_current`` file names it, so a reader never sees a half-written table and a job may
-read the table it replaces.
+On Parquet a full replacement is written beside the live copy. It becomes visible when a small
+numbered file naming it is renamed into place; the greatest number is the live copy, so a reader
+sees the old copy or the new one, and a job may read the table it replaces. The copy before the
+live one stays for readers that have begun, older ones are removed.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql.types import LongType, StructType
 
 from millrace.schemas import TABLES
 
+MARKER = "_live-"  # followed by a growing number and the name of a finished copy
+
 
 @dataclass(frozen=True)
 class Store:
@@ -32,24 +35,33 @@ class Store:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
 
+    def _copies(self, name: str) -> list[tuple[str, str]]:
+        """(marker, folder) of the finished copies, the live one last."""
+        fs, folder = self._file_system(self._folder(name))
+        if not fs.exists(folder):
+            return []
+        found = sorted(status.getPath().getName() for status in fs.listStatus(folder))
+        markers = [n for n in found if n.startswith(MARKER)]
+        return [(n, n.removeprefix(MARKER).partition("-")[2]) for n in markers]
+
     def _live(self, name: str) -> str | None:
         """Folder of the visible copy, None for a table that was never written."""
-        fs, marker = self._file_system(f"{self._folder(name)}/_current")
-        if not fs.exists(marker):
-            return None
-        stream = fs.open(marker)
-        try:
-            return f"{self._folder(name)}/{bytes(stream.readAllBytes()).decode()}"
-        finally:
-            stream.close()
+        copies = self._copies(name)
+        return f"{self._folder(name)}/{copies[-1][1]}" if copies else None
 
     def _publish(self, name: str, version: str) -> None:
-        fs, marker = self._file_system(f"{self._folder(name)}/_current")
-        stream = fs.create(marker, True)
-        try:
-            stream.write(bytearray(version.encode()))
-        finally:
-            stream.close()
+        """Make a finished copy the live one, and remove all but the one before it."""
+        fs, _ = self._file_system(self._folder(name))
+        copies = self._copies(name)
+        number = int(copies[-1][0].removeprefix(MARKER).partition("-")[0]) + 1 if copies else 0
+        fresh = self._file_system(f"{self._folder(name)}/_new-{version}")[1]
+        fs.create(fresh, True).close()
+        marker = self._file_system(f"{self._folder(name)}/{MARKER}{number:012d}-{version}")[1]
+        if not fs.rename(fresh, marker):
+            raise OSError(f"cannot publish {marker}")
+        for old_marker, old in copies[:-1]:
+            for gone in (old_marker, old):
+                fs.delete(self._file_system(f"{self._folder(name)}/{gone}")[1], True)
 
     def exists(self, name: str) -> bool:
         if self.catalog:
@@ -122,7 +134,7 @@ class Store:
         rows = df.select(*columns)
         if not self.catalog:
             rows = rows.withColumns({c: F.expr(e) for c, e in table.derived.items()})
-            if table.partition_by and not table.log:
+            if table.partition_by:
                 # One shuffle keeps files few; it splits large partitions and joins small ones.
                 rows = rows.hint("rebalance", *table.partition_by)
         written = Observation()
