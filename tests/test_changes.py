@@ -25,7 +25,20 @@ def test_newest_version_with_a_hot_key(spark):
     assert got == expected
 
 
-def test_equal_versions_fall_back_to_sequence_then_columns(spark):
+def test_the_winner_among_equal_versions_does_not_depend_on_the_columns(spark):
+    rows = [(1, 5, i % 7, (i * 5) % 11) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, version long, one long, two long")
+    (whole,) = latest_by_key(df, "id", "version").collect()
+    for columns in (["id", "one"], ["two", "id"], ["id", "two", "one"]):
+        (row,) = latest_by_key(df, "id", "version", columns).collect()
+        assert all(row[c] == whole[c] for c in columns)
+    changed = df.selectExpr("id", "version AS updated_at", "one AS item_id", "two AS quantity", "one AS log_position")
+    best = max(r[2] for r in rows)
+    got = changes.latest_purchases(changed).collect()[0]
+    assert got.item_id == best
+
+
+def test_equal_versions_fall_back_to_sequence(spark):
     df = spark.createDataFrame(
         [(1, 5, 1, "z"), (1, 5, 2, "a"), (2, None, 1, "x"), (2, 1, 0, None)],
         "id long, version long, seq long, text string",
@@ -38,7 +51,7 @@ def test_equal_versions_fall_back_to_sequence_then_columns(spark):
 def test_partial_aggregation_precedes_the_shuffle(spark):
     df = spark.range(10).selectExpr("id % 2 AS id", "id AS version")
     plan = latest_by_key(df, "id", "version")._jdf.queryExecution().sparkPlan().toString()
-    assert "partial_max" in plan
+    assert "partial_max_by" in plan
 
 
 def test_defaults(spark):
@@ -75,6 +88,17 @@ def test_decoding(spark):
     )
 
 
+def test_decoded_structs_take_the_same_route(spark):
+    """As Avro records arrive: a struct, or NULL for bytes that are no record."""
+    df = spark.createDataFrame(
+        [(b"one", 1, (1, 70000)), (b"two", 2, None), (b"three", 3, (3, 2)), (None, 4, None)],
+        "value binary, offset long, record struct<id: long, status: int>",
+    )
+    rows = changes.decode_avro_changes(df, F.col("record"), "id BIGINT, status INT", {"status": "smallint"})
+    got = sorted((r.log_position, r.id, r._error, r._raw_message) for r in rows.collect())
+    assert got == [(1, 1, "value out of range", "b25l"), (2, None, "decode error", "dHdv"), (3, 3, "", "")]
+
+
 def test_values_out_of_range_are_errors(spark):
     texts = [
         '{"id": 1, "status": 70000}',

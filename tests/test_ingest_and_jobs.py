@@ -170,13 +170,86 @@ def test_purchase_stream_and_compaction(spark, store, tmp_path):
     follow()
     assert newest() == {1: (4, False), 2: (1, False), 3: (1, True)}
     assert store.read("rt.purchases").count() == 5
-    change_streams.compact(store, "rt.purchases", "id", "updated_at")
-    assert store.read("rt.purchases").count() == 3
-    assert newest() == {1: (4, False), 2: (1, False), 3: (1, True)}
+    kept = store.read("rt.purchases_newest").collect()
+    assert {r.id: (r.quantity, r.deleted) for r in kept} == newest()
+    (source / "c.json").write_text(change(3, 7_000, quantity=8, deleted=False))
+    change_streams.ingest_purchase_changes(
+        store, spark.readStream.text(str(source)), f"{tmp_path}/cp/purchases"
+    )
+    live = change_streams.newest_purchases(store).collect()
+    assert {r.id: (r.quantity, r.deleted) for r in live} == newest() == {1: (4, False), 2: (1, False), 3: (8, False)}
+    assert change_streams.keep_newest(store) == 3
+    assert change_streams.keep_newest(store) == 0
     (error,) = store.read("rt.purchases_errors").collect()
     assert (error._error, error._raw_message) == ("decode error", "broken")
 
 
+def files_below(folder):
+    return [p for p in folder.rglob("*.parquet") if "/_" not in str(p)]
+
+
+def test_folding_joins_files_and_copies_do_not_pile_up(spark, store, tmp_path):
+    rows = spark.range(400).selectExpr(
+        "id", "1L AS user_id", "1L AS item_id", "'' AS campaign_id", "1 AS status", "1 AS quantity",
+        "1.0 AS purchase_price", "false AS deleted", "timestamp_seconds(id) AS created_at",
+        "timestamp_seconds(id) AS updated_at", "id AS log_position", "current_timestamp() AS ingested_at",
+    )
+    for n in range(4):
+        store.write(rows.filter(F.col("id") % 4 == n).repartition(6), "rt.purchases", batch_id=n)
+        change_streams.keep_newest(store)
+    assert store.read("rt.purchases_newest").count() == 400
+    folder = tmp_path / "store" / "rt" / "purchases_newest"
+    assert len([p for p in folder.iterdir() if p.is_dir()]) == 2  # the live copy and the one before
+    live = sorted(p.name for p in folder.glob("_live-*"))[-1].split("-", 2)[2]
+    assert len(files_below(folder / live)) == 1
+    before = sorted(p.name for p in folder.iterdir())
+    for _ in range(5):
+        store.write(store.read("rt.purchases_newest"), "rt.purchases_newest", mode="replace")
+    assert len(list(folder.iterdir())) == len(before)
+
+
+def test_a_reader_sees_one_whole_copy_during_a_switch(spark, store):
+    first = items(spark, [(1, "toys", "1.00", T)])
+    store.write(first, "silver.items", "replace")
+    reading = store.read("silver.items")
+    store.write(items(spark, [(2, "toys", "1.00", T), (3, "toys", "1.00", T)]), "silver.items", "replace")
+    assert [r.id for r in reading.collect()] == [1]  # the copy it began with is still there
+    assert {r.id for r in store.read("silver.items").collect()} == {2, 3}
+
+
+def test_unreadable_item_messages_are_kept_apart(spark, store, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    good = {"op": "c", "after": {"id": 1, "name": "n", "price": "1.50"}, "source": {"table": "items", "ts_ms": 5}}
+    texts = [
+        json.dumps(good),
+        '{"op":"u","after":{"id":',
+        json.dumps({**good, "after": {"id": "x"}}),
+        json.dumps({**good, "after": {"id": 2, "price": "cheap"}}),
+        json.dumps({**good, "op": None}),
+    ]
+    (source / "a.json").write_text("\n".join(texts))
+    jobs.follow_items(store, spark.readStream.text(str(source)), f"{tmp_path}/cp")
+    assert [r.id for r in store.read("rt.items").collect()] == [1]
+    errors = {(r._raw_message, r._error) for r in store.read("rt.items_errors").collect()}
+    assert errors == {(t, "value out of range" if "cheap" in t else "decode error") for t in texts[1:]}
+
+
+def test_a_source_that_grows_between_two_actions(spark, store):
+    """Each look at the source sees more rows; what is loaded, refused and passed by the cursor agree."""
+    class Growing:
+        looks = 0
+
+        def rows(self, table, key, cursor, since, partitions):
+            Growing.looks += 1
+            rows = [(1, "a", "1.00", T), (2, "a", "123456.00", T + dt.timedelta(minutes=Growing.looks))]
+            return items(spark, rows)
+
+    jobs.load_tables(store, Growing(), ["items"])
+    assert Growing.looks == 1
+    assert store.read("bronze.items").count() == store.read("bronze.rejected_rows").count() == 1
+
+
 def test_equal_updates_keep_the_later_batch(spark, store, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.operators import logins
 from millrace.plans import jobs
@@ -94,25 +95,23 @@ GEO = [
 IPS = ["192.168.1.7", "192.168.12.7", "192.168.3.4", "10.0.01", "10.0.0.5", "8.8.8.8", "1", None]
 
 
-@pytest.mark.parametrize("limit", [logins.BROADCAST_BYTES, 0])
-def test_geo_join(spark, limit):
+def test_geo_join(spark):
     geo = spark.createDataFrame(GEO, "ip_prefix string, country string, city string")
     events = spark.createDataFrame([(i, ip) for i, ip in enumerate(IPS * 2)], "event long, ip string")
     expected = []
     for i, ip in enumerate(IPS * 2):
         found = [(c, t) for p, c, t in GEO if p is not None and ip is not None and ip.startswith(p)]
         expected += [(i, str(ip), str(c), str(t)) for c, t in found or [(None, None)]]
-    got = logins.geo_join(events, geo, broadcast_bytes=limit)
+    got = logins.geo_join(events, geo)
     assert sorted((r.event, str(r.ip), str(r.country), str(r.city)) for r in got.collect()) == sorted(
         expected
     )
 
 
-@pytest.mark.parametrize("limit", [logins.BROADCAST_BYTES, 0])
-def test_geo_join_has_no_nested_loop(spark, limit):
+def test_geo_join_has_no_nested_loop(spark):
     geo = spark.createDataFrame(GEO, "ip_prefix string, country string, city string")
     events = spark.createDataFrame([(1, "10.0.0.1")], "event long, ip string")
-    plan = logins.geo_join(events, geo, limit)._jdf.queryExecution().executedPlan().toString()
+    plan = logins.geo_join(events, geo)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
@@ -160,7 +159,7 @@ def run_stream_over(spark, folder, drops):
 
 
 def stored_anomalies(store):
-    rows = store.read("rt.login_anomalies").collect()
+    rows = login_streams.read_anomalies(store).collect()
     return sorted((str(r.user_id), r.timestamp, str(r.country)) for r in rows)
 
 
@@ -194,6 +193,39 @@ def test_stream_drops_late_logins(spark, tmp_path):
     assert [(u, c) for u, _, c in stored_anomalies(store)] == [("u", "US"), ("u", "UK")]
 
 
+def test_one_hot_user_in_a_single_backlog(spark, tmp_path):
+    """Half an hour of logins every five milliseconds, all in one batch, spread over many cells."""
+    store = Store(spark, f"{tmp_path}/store")
+    rows = spark.range(360_000).select(
+        F.lit("hot").alias("user_id"),
+        F.timestamp_millis(F.col("id") * 5).alias("timestamp"),
+        *[F.lit("x").alias(c) for c in ("ip", "platform", "device_type", "city")],
+        F.when(F.col("id") % 2 == 0, "UK").alias("country"),
+    )
+    end = rows.limit(1).withColumn("timestamp", F.lit(at(400 * DAY)))
+    for number, drop in enumerate((rows, end)):
+        store.write(drop, "rt.login_events_enriched", batch_id=number)
+        login_streams.write_anomalies(
+            store, store.read_stream("rt.login_events_enriched"), f"{tmp_path}/checkpoint"
+        )
+    assert store.read("rt.login_cells").count() <= 1801
+    found = login_streams.read_anomalies(store).groupBy("country").count().collect()
+    assert {r["country"]: r["count"] for r in found} == {None: 180_000, "UK": 100}
+
+
+def test_unreadable_logins_are_kept_apart(spark, tmp_path):
+    store = Store(spark, f"{tmp_path}/store")
+    geo = spark.createDataFrame(GEO[:1], "ip_prefix string, country string, city string")
+    events = [("u", "2024-01-01T10:00:00.000Z", "192.168.1.4"), ("u", "soon", "x"), ("v", None, "x")]
+    spark.createDataFrame(events, "user_id string, timestamp string, ip string").write.json(f"{tmp_path}/in")
+    from millrace.sources.files import read_logins
+
+    jobs.watch_logins(store, read_logins(spark, f"{tmp_path}/in"), geo, f"{tmp_path}/checkpoints")
+    assert store.read("rt.login_events_enriched").count() == 1
+    texts = [r["_raw_message"] for r in store.read("rt.login_errors").collect()]
+    assert len(texts) == 2 and any("soon" in t for t in texts)
+
+
 def test_login_job(spark, tmp_path):
     store = Store(spark, f"{tmp_path}/store")
     geo = spark.createDataFrame(GEO[:1], "ip_prefix string, country string, city string")
@@ -211,4 +243,5 @@ def test_login_job(spark, tmp_path):
     for _ in range(2):
         jobs.watch_logins(store, read_logins(spark, f"{tmp_path}/in"), geo, f"{tmp_path}/checkpoints")
     assert store.read("rt.login_events_enriched").count() == 4
-    assert [(t.second, c) for _, t, c in stored_anomalies(store)] == [(0, "UK"), (19, "None")]
+    # A login of unknown country fires at once; the known one before it is closed by the last one.
+    assert [(t.second, c) for _, t, c in stored_anomalies(store)] == [(0, "UK"), (19, "None"), (19, "None")]

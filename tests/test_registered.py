@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import SCALES, connect, of_spark, of_sql
+from millrace.plans import oracle
+from millrace.plans import queries as registry
 
 FOLDER = f"{SCALES}/sf0.001"
-QUERIES = contract.queries()
-STATEMENTS = contract.oracle_sql()
+QUERIES = registry.registered()
+STATEMENTS = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -30,5 +32,10 @@ def test_every_query_has_sql():
     assert set(STATEMENTS) == set(QUERIES)
 
 
+def test_contract_holds_them():
+    assert QUERIES.keys() <= contract.queries().keys()
+    assert STATEMENTS.items() <= contract.oracle_sql().items()
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 10

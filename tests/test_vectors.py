@@ -84,13 +84,12 @@ def reviews(spark):
 def test_embedding_job(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     store.write(reviews(spark), "rt.reviews")
-    assert jobs.embed_reviews(store) == 1
-    assert jobs.embed_reviews(store) == 0
+    assert jobs.embed_reviews(store, hashing_encoder) == 1
+    assert jobs.embed_reviews(store, hashing_encoder) == 0
     made = store.read("rt.review_embeddings")
-    got = {
-        r.review_id: r.review_embedding
-        for r in vectors.write_back(store.read("rt.reviews"), made).collect()
-    }
+    got = {r.review_id: r.review_embedding for r in store.read("rt.reviews").collect()}
+    twice = vectors.write_back(reviews(spark), made.unionAll(made)).collect()
+    assert {r.review_id: r.review_embedding for r in twice} == got and len(twice) == len(got)
     assert np.allclose(got[1], hashing_encoder()(["late delivery"])[0])
     assert got[2] == [0.5] * DIMENSIONS
     assert got[3] is None
@@ -99,7 +98,7 @@ def test_embedding_job(spark, tmp_path):
 
     more = reviews(spark).limit(1).selectExpr("9 AS review_id", "* EXCEPT (review_id)")
     store.write(more, "rt.reviews")
-    assert jobs.embed_reviews(store) == 1
+    assert jobs.embed_reviews(store, hashing_encoder) == 1
 
 
 def test_similar_texts_are_near(spark):
