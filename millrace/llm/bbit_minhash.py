@@ -8,6 +8,7 @@ near the limit are confirmed on the full sets.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,14 +16,16 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.common import cut, maybe_among, pieces, text_key
-from millrace.llm.groups import linked_groups
+from millrace.llm.common import cut, maybe_among, pieces, shuffle_partitions, text_key
+from millrace.llm.groups import family_blocks, linked_groups
 
 MINIMA = 256
 BITS = 8
 ROWS = 6  # minima in a band; at similarity 0.8 a pair misses all 42 bands with probability 3e-6
 SLACK = 5.0  # standard deviations below the limit at which an estimate still goes to the full check
 
+BLOCK = 200_000  # shingles on either side of a block of documents that are compared in one task
+
 SKETCH = "doc_id long, text_key binary, n_shingles long, digest binary, signature binary"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -121,6 +124,44 @@ def _confirmed(size: int, percent: int):
     return run
 
 
+def _linked_in_block(rows: list[dict], size: int, percent: int, limit: float) -> Iterator[tuple[bytes, bytes]]:
+    """Links between the outside documents of a block and its documents of other groups."""
+    outside = [r for r in rows if r["outside"]]
+    inside = [r for r in rows if not r["outside"]]
+    if not outside or not inside:
+        return
+    marks = np.frombuffer(b"".join(r["signature"] for r in inside), np.uint8).reshape(-1, MINIMA)
+    roots = np.array([r["root"] for r in inside], object)
+    sets: dict[int, np.ndarray] = {}
+    for row in outside:
+        own = np.frombuffer(row["signature"], np.uint8)
+        likely = np.flatnonzero((estimate(marks, own[None, :]) >= limit) & (roots != row["root"]))
+        if not len(likely):
+            continue
+        for i in likely.tolist():
+            if i not in sets:
+                sets[i] = shingles(inside[i]["text"], size)
+        mine = shingles(row["text"], size)
+        flat = np.concatenate([sets[i] for i in likely])
+        sizes = np.array([len(sets[i]) for i in likely])
+        at = np.minimum(np.searchsorted(mine, flat), len(mine) - 1)
+        common = np.add.reduceat((mine[at] == flat).astype(np.int64), np.cumsum(sizes) - sizes)
+        for i in likely[100 * common >= percent * (len(mine) + sizes - common)].tolist():
+            yield row["id"], inside[i]["id"]
+
+
+def _linked_in_blocks(size: int, percent: int, limit: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for batch in pieces(batches, 256) for row in batch.to_pylist())
+        for _, block in itertools.groupby(rows, key=lambda r: (r["family"], r["c"], r["o"])):
+            found = list(_linked_in_block(list(block), size, percent, limit))
+            if found:
+                sides = [pa.array(side, pa.binary()) for side in zip(*found)]
+                yield pa.RecordBatch.from_arrays(sides, names=["a", "b"])
+
+    return run
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, text_key, n_shingles, component_id, kept; one row per row of ``docs``.
 
@@ -138,8 +179,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("best"),
             F.first("signature").alias("signature"),
+            F.first("n_shingles").alias("weight"),
         )
-        .select(F.col("digest").alias("id"), "best.doc_id", "best.text_key", "signature"),
+        .select(F.col("digest").alias("id"), "best.doc_id", "best.text_key", "signature", "weight"),
         "minhash-classes",
     )
     bands = F.transform(
@@ -156,20 +198,28 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
             pairs = pairs.join(own, side)
         return pairs
 
+    def texts(ids: DataFrame) -> DataFrame:
+        """The text of each id's first document."""
+        wanted = cut(ids.distinct().join(classes.select("id", "doc_id", "text_key"), "id"), "minhash-wanted")
+        near = maybe_among(read, F.col("text_key"), wanted, "text_key")
+        own = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_key") == F.col("w.text_key"))
+        return near.alias("d").join(wanted.alias("w"), own).select("w.id", "d.text").dropDuplicates(["id"])
+
     def confirm(pairs: DataFrame) -> DataFrame:
         marked = sides(pairs, classes, "signature").select("a", "b", "signature_a", "signature_b")
         likely = cut(marked.mapInArrow(_likely(limit), "a binary, b binary"), "minhash-likely")
-        wanted = cut(
-            likely.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.drop("signature"), "id"),
-            "minhash-wanted",
-        )
-        own = F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.text_key") == F.col("w.text_key"))
-        near = maybe_among(read, F.col("text_key"), wanted, "text_key")
-        texts = near.alias("d").join(wanted.alias("w"), own).select("w.id", "d.text").dropDuplicates(["id"])
-        both = sides(likely, texts, "text").select("a", "b", "text_a", "text_b")
+        own = texts(likely.select(F.explode(F.array("a", "b")).alias("id")))
+        both = sides(likely, own, "text").select("a", "b", "text_a", "text_b")
         return both.mapInArrow(_confirmed(size, percent), "a binary, b binary")
 
-    roots = linked_groups(members, confirm, "minhash")
+    def compare(held: DataFrame) -> DataFrame:
+        key = ["family", "c", "o"]
+        blocks = family_blocks(held, classes.select("id", "weight"), BLOCK)
+        own = texts(held.select("id")).join(classes.select("id", "signature"), "id")
+        rows = blocks.join(own, "id").repartition(shuffle_partitions(docs), *key).sortWithinPartitions(*key)
+        return rows.mapInArrow(_linked_in_blocks(size, percent, limit), "a binary, b binary")
+
+    roots = linked_groups(members, confirm, compare, "minhash")
     rooted = classes.select("id", "doc_id").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     placed = rooted.join(smallest, "root").select(F.col("id").alias("digest"), "component_id")

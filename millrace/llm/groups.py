@@ -5,13 +5,17 @@ central item of another group that it meets in a bucket, so a large group of cop
 item. What the rounds leave apart is compared fully, but only in buckets that still hold several groups,
 and there only the items outside the bucket's largest group with the items of other groups. A link inside
 a group is never needed again, so the groups are those of all links between items that share a bucket.
+
+The full comparison takes buckets with the same largest group together, as a family, and cuts a family
+into blocks of bounded weight: a block of outside items meets a block of all items in one task, which
+returns the links it finds. No pairs travel, however large a family is.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.llm.common import cut
 
@@ -60,10 +64,40 @@ def _mixed(placed: DataFrame, name: str) -> DataFrame:
     return cut(placed.join(main, "bucket"), name)
 
 
-def linked_groups(members: DataFrame, confirm: Confirm, name: str, rounds: int = 2) -> DataFrame:
+def family_blocks(held: DataFrame, weights: DataFrame, most: int) -> DataFrame:
+    """(family, c, o, outside, id, root): every outside item with every item of its family in some block.
+
+    ``weights`` (id, weight) says how much an item adds to a block; a block has about twice ``most``.
+    """
+    items = held.select(F.col("main").alias("family"), "id", "root").distinct().join(weights, "id")
+    items = items.withColumn("outside", F.col("root") != F.col("family"))
+    load = F.sum("weight"), F.sum(F.when(F.col("outside"), F.col("weight")).otherwise(0))
+    blocks = [F.greatest(F.lit(1), F.ceil(x / most)).cast("int") for x in load]
+    sizes = items.groupBy("family").agg(blocks[0].alias("all_blocks"), blocks[1].alias("outside_blocks"))
+    placed = items.join(sizes, "family")
+
+    def own(count: str, seed: int) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), "id"), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    everyone = placed.select("family", own("all_blocks", 1).alias("c"), every("outside_blocks").alias("o"), F.lit(False).alias("outside"), "id", "root")
+    others = placed.where("outside").select("family", every("all_blocks").alias("c"), own("outside_blocks", 2).alias("o"), "outside", "id", "root")
+    return everyone.union(others)
+
+
+def linked_groups(
+    members: DataFrame,
+    confirm: Confirm,
+    compare: Callable[[DataFrame], DataFrame],
+    name: str,
+    rounds: int = 2,
+) -> DataFrame:
     """(id, root) of every item with a confirmed link. ``members``: bucket, id, once each.
 
-    ``confirm`` takes distinct pairs (a, b), a < b, and returns those that are linked.
+    ``confirm`` takes distinct pairs (a, b), a < b, and returns those that are linked. ``compare`` takes
+    the members of buckets with several groups (bucket, id, root, main) and returns links (a, b).
     """
     sizes = members.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     shared = cut(members.join(sizes, "bucket"), f"{name}-shared")
@@ -73,27 +107,15 @@ def linked_groups(members: DataFrame, confirm: Confirm, name: str, rounds: int =
     tried = linked = None
     for _ in range(rounds):
         held = _mixed(held, f"{name}-mixed")
-        heads = held.groupBy("bucket", "root").agg(F.max(F.struct("central", "id")).alias("head"))
-        best = heads.groupBy("bucket").agg(F.max(F.struct("head", "root")).alias("top"))
-        met = held.join(best, "bucket").where(F.col("root") != F.col("top.root")).select("id", F.col("top.head").alias("head"))
-        pairs = met.groupBy("id").agg(F.max("head").alias("head")).select(
-            F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")
-        )
-        pairs = pairs.distinct() if tried is None else pairs.distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = cut(pairs, f"{name}-tried")
+        best = held.groupBy("bucket").agg(F.max(F.struct("central", "id", "root")).alias("head"))
+        met = held.join(best, "bucket").where(F.col("root") != F.col("head.root"))
+        pairs = met.groupBy("id").agg(F.max("head").alias("head"))
+        pairs = pairs.select(F.least("id", "head.id").alias("a"), F.greatest("id", "head.id").alias("b")).distinct()
+        pairs = cut(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), f"{name}-tried")
         tried = pairs if tried is None else tried.union(pairs)
         found = cut(confirm(pairs), f"{name}-linked")
         linked = found if linked is None else linked.union(found)
         roots = cut(components(linked, f"{name}-stars"), f"{name}-roots")
         held = held.drop("root", "main").join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-
-    held = _mixed(held, f"{name}-mixed")
-    outside = held.where("root <> main").select("bucket", F.col("id").alias("other"), F.col("root").alias("other_root"))
-    pairs = (
-        held.join(outside, "bucket")
-        .where("root <> other_root and (root = main or id < other)")
-        .select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
-        .distinct()
-        .join(tried, ["a", "b"], "left_anti")
-    )
-    return components(linked.union(cut(confirm(pairs), f"{name}-linked")), f"{name}-groups")
+    rest = cut(compare(_mixed(held, f"{name}-mixed")), f"{name}-linked")
+    return components(linked.union(rest), f"{name}-groups")
