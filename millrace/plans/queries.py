@@ -452,17 +452,21 @@ def item_errors_stream(spark, folder):
 
 
 def login_anomalies_stream(spark, folder):
-    """All logins as one backlog of files, then a login far later that lets the watermark pass them."""
+    """All logins as one backlog of files, with a login far later that lets the watermark pass them."""
     base = scratch_dir(spark, "logins")
     store = Store(spark, f"{base}/store")
     rows = shop.logins(spark, folder)
     closing = rows.limit(1).withColumns(
         {"user_id": F.lit("closing"), "timestamp": F.lit("2999-01-01T00:00:00.000Z")}
     )
-    watch = {"geo": shop.geo(spark), "checkpoints": f"{base}/checkpoints"}
-    for drop in (rows, closing):
-        drop.write.mode("append").json(f"{base}/in")
-        jobs.watch_logins(store, read_logins(spark, f"{base}/in"), **watch)
+    rows.unionAll(closing).write.json(f"{base}/in")
+    jobs.watch_logins(
+        store,
+        read_logins(spark, f"{base}/in"),
+        shop.geo(spark),
+        f"{base}/checkpoints",
+        state_partitions=spark.sparkContext.defaultParallelism,
+    )
     found = logins_stream.read_anomalies(store)
     return found.filter(~F.col("user_id").eqNullSafe("closing"))
 

@@ -119,7 +119,7 @@ def test_a_hot_item_is_split_below_an_item_aggregate(spark, tmp_path):
         (F.col("id") % 1000).alias("user_id"),
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("item_id"),
         F.lit(1).alias("quantity"),
-        F.lit(2).cast("decimal(12,2)").alias("purchase_price"),
+        (F.rand(1) * 1000).cast("decimal(12,2)").alias("purchase_price"),
         F.lit(dt.datetime(2024, 1, 1)).alias("created_at"),
         F.lit(dt.datetime(2024, 1, 1)).alias("updated_at"),
     )
@@ -129,8 +129,8 @@ def test_a_hot_item_is_split_below_an_item_aggregate(spark, tmp_path):
         spark,
         autoBroadcastJoinThreshold="-1",
         shuffle__partitions="40",
-        adaptive__advisoryPartitionSizeInBytes="200KB",
-        adaptive__skewJoin__skewedPartitionThresholdInBytes="300KB",
+        adaptive__advisoryPartitionSizeInBytes="20KB",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="30KB",
     ):
         assert "skew=true" in run(gold.top_selling_items(silver.purchases_enriched(rows, users, items)))
 
