@@ -20,6 +20,7 @@ from millrace.tables import Store
 
 log = logging.getLogger(__name__)
 
+CURSORS = "bronze.load_cursors"
 RELATIONAL_TABLES = ("users", "items", "purchases")  # fixed value
 
 
@@ -61,7 +62,7 @@ def load_pageviews(store: Store, path: str, checkpoint: str) -> None:
 def load_table(store: Store, source: Source, table: str, partitions: int, lookback: str) -> int:
     """One table of JOB-2; rows that do not fit the declared types are kept as rejected."""
     name = f"bronze.{table}"
-    target = store.read(name) if store.exists(name) else None
+    target = loaded_until(store, name)
     rows = read_incremental(source, table, target, partitions=partitions, lookback=lookback)
     if rows is None:
         return 0
@@ -75,7 +76,20 @@ def load_table(store: Store, source: Source, table: str, partitions: int, lookba
     if schemas.may_reject(staged, name):
         run = F.xxhash64(F.lit(name), F.lit(last_cursor(target, "updated_at", lookback)))
         store.write(refused.withColumn("batch_id", run), "bronze.rejected_rows")
-    return write_logged(store, fitting, name, "append")
+    written = write_logged(store, fitting, name, "append")
+    reached = staged.agg(F.lit(name).alias("table_name"), F.max("updated_at").alias("updated_at"))
+    store.write(reached.filter("updated_at IS NOT NULL"), CURSORS, "overwrite")
+    return written
+
+
+def loaded_until(store: Store, name: str) -> DataFrame | None:
+    """Rows whose newest ``updated_at`` is the cursor of a table: its kept cursor, or the table itself if it
+    was filled by other means."""
+    if store.exists(CURSORS):
+        kept = store.read(CURSORS).filter(F.col("table_name") == name)
+        if kept.first() is not None:
+            return kept
+    return store.read(name) if store.exists(name) else None
 
 
 def load_tables(
@@ -161,12 +175,13 @@ def watch_logins(
     geo: DataFrame,
     checkpoints: str,
     state_partitions: int | None = None,
+    max_files: int | None = None,
 ) -> None:
-    """JOB-6: enrich, then look for anomalies in the enriched log."""
+    """JOB-6: enrich, then look for anomalies in the enriched log, ``max_files`` of it at a time."""
     login_streams.ingest_logins(store, logins, geo, f"{checkpoints}/logins")
     login_streams.write_anomalies(
         store,
-        store.read_stream("rt.login_events_enriched"),
+        store.read_stream("rt.login_events_enriched", max_files),
         f"{checkpoints}/anomalies",
         state_partitions,
     )

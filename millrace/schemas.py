@@ -96,6 +96,8 @@ TABLES: dict[str, Table] = {
     "bronze.rejected_rows": Table(
         "table_name STRING, raw_record STRING, ingested_at TIMESTAMP", log=True
     ),
+    # How far each table has been loaded: one row per table.
+    "bronze.load_cursors": Table("table_name STRING, updated_at TIMESTAMP", ("table_name",)),
     "silver.users": _by_day(
         "id BIGINT, first_name STRING, last_name STRING, email STRING, created_at TIMESTAMP, "
         "updated_at TIMESTAMP, valid_email BOOLEAN, full_name STRING",

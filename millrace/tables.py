@@ -102,14 +102,17 @@ class Store:
         # A catalog derives its hidden day partition from a filter on the time itself.
         return df.filter((F.expr(expression) if self.catalog else F.col(day)) >= start)
 
-    def read_stream(self, name: str) -> DataFrame:
-        """New rows of a log table as a stream."""
+    def read_stream(self, name: str, max_files: int | None = None) -> DataFrame:
+        """New rows of a log table as a stream; ``max_files`` bounds what one batch takes of a backlog."""
         if self.catalog:
             return self.spark.readStream.table(f"{self.catalog}.{name}")
         live = self._live(name)
         if live is None:
             raise FileNotFoundError(f"table {name} does not exist below {self.root}")
-        return self.spark.readStream.schema(_stored(name)).parquet(live)
+        reader = self.spark.readStream.schema(_stored(name))
+        if max_files is not None:
+            reader = reader.option("maxFilesPerTrigger", max_files)
+        return reader.parquet(live)
 
     def write(
         self, df: DataFrame, name: str, mode: str = "append", batch_id: int | None = None

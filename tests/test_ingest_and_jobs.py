@@ -75,7 +75,7 @@ def test_batches_are_idempotent(spark, store):
 
 def test_declared_tables(spark, store):
     counts = {layer: len(store.ensure(layer)) for layer in ("bronze", "silver", "gold")}
-    assert counts == {"bronze": 6, "silver": 4, "gold": 5}
+    assert counts == {"bronze": 7, "silver": 4, "gold": 5}
     assert store.read("gold.top_selling_items").schema["total_revenue"].dataType.simpleString() == (
         "decimal(24,2)"
     )
@@ -280,6 +280,18 @@ def test_incremental_load_and_rejected_rows(spark, store, tmp_path):
     assert json.loads(refused.raw_record)["price"] == 123456.0
 
 
+def test_the_kept_cursor_is_used_instead_of_the_table(spark, store, tmp_path):
+    source = source_tables(spark, str(tmp_path / "src"), [(1, "toys", "1.00", T)])
+    jobs.load_tables(store, source, ["items"])
+    assert [tuple(r) for r in store.read("bronze.load_cursors").select("table_name", "updated_at").collect()] == [("bronze.items", T)]
+    source_tables(spark, str(tmp_path / "src"), [(2, "toys", "1.00", T + dt.timedelta(hours=1))])
+    jobs.load_tables(store, source, ["items"])
+    (cursor,) = store.read("bronze.load_cursors").collect()
+    assert cursor.updated_at == T + dt.timedelta(hours=1)
+    plan = jobs.loaded_until(store, "bronze.items")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(table_name" in plan
+
+
 def test_lookback_rereads_late_rows(spark, tmp_path):
     source = source_tables(
         spark, str(tmp_path), [(1, "a", "1.00", T), (2, "a", "1.00", T - dt.timedelta(minutes=1))]
