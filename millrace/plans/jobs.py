@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace import schemas
 from millrace.functions.encoders import Encoder
-from millrace.operators import changes, gold, segments, silver, vectors
+from millrace.operators import changes, gold, quality, segments, silver, vectors
 from millrace.operators.latest import latest_by_key
 from millrace.session import scratch_dir
 from millrace.sources.relational import Source, last_cursor, read_incremental
@@ -20,7 +20,7 @@ from millrace.tables import Store
 
 log = logging.getLogger(__name__)
 
-CURSORS = "bronze.load_cursors"
+CURSORS, QUALITY = "bronze.load_cursors", "silver.quality_report"
 RELATIONAL_TABLES = ("users", "items", "purchases")  # fixed value
 
 
@@ -147,6 +147,21 @@ def build_silver(
     )
 
 
+def report_quality(store: Store) -> int:
+    """DQ-1: the rules of users, items and purchases over the stored tables; returns the number of rows
+    that failed some rule, and logs it."""
+    checks = {
+        "users": ("silver.users", quality.USER_RULES),
+        "items": ("silver.items", quality.ITEM_RULES),
+        "purchases": ("bronze.purchases", quality.PURCHASE_RULES),
+    }
+    reports = [quality.quality_report(store.read(t), n, rules) for n, (t, rules) in checks.items()]
+    write_logged(store, reports[0].unionAll(reports[1]).unionAll(reports[2]), QUALITY, "replace")
+    failed = store.read(QUALITY).agg(F.coalesce(F.sum("failed"), F.lit(0))).first()[0]
+    log.info("%s: %s failures", QUALITY, failed)
+    return failed
+
+
 def build_gold(store: Store) -> dict[str, int]:
     """JOB-4: stops at the first failure."""
     bought = store.read("silver.purchases_enriched")
@@ -225,4 +240,5 @@ def full_run(store: Store, source: Source, pageviews: str, checkpoints: str) ->
     load_tables(store, source)
     load_pageviews(store, pageviews, f"{checkpoints}/pageviews")
     build_silver(store)
+    report_quality(store)
     build_gold(store)

@@ -332,6 +332,23 @@ STATEMENTS = {
           count(*) FROM purchases
         UNION ALL SELECT 'purchases', 'price_positive',
           count(*) FILTER (NOT coalesce(purchase_price > 0, false)), count(*) FROM purchases""",
+    "full_run_quality": """
+        SELECT 'users' AS table_name, 'id_not_null' AS rule,
+          count(*) FILTER (id IS NULL) AS failed, count(*) AS total FROM silver_users
+        UNION ALL SELECT 'users', 'valid_email',
+          count(*) FILTER (NOT coalesce(valid_email, false)), count(*) FROM silver_users
+        UNION ALL SELECT 'items', 'id_not_null', count(*) FILTER (id IS NULL), count(*)
+          FROM silver_items
+        UNION ALL SELECT 'items', 'price_positive',
+          count(*) FILTER (NOT coalesce(price > 0, false)), count(*) FROM silver_items
+        UNION ALL SELECT 'purchases', 'id_not_null', count(*) FILTER (id IS NULL), count(*)
+          FROM purchase_events
+        UNION ALL SELECT 'purchases', 'user_id_not_null', count(*) FILTER (user_id IS NULL),
+          count(*) FROM purchase_events
+        UNION ALL SELECT 'purchases', 'item_id_not_null', count(*) FILTER (item_id IS NULL),
+          count(*) FROM purchase_events
+        UNION ALL SELECT 'purchases', 'price_positive',
+          count(*) FILTER (NOT coalesce(purchase_price > 0, false)), count(*) FROM purchase_events""",
     "latest_by_key": """
         SELECT id, first_name, last_name, email, created_at, updated_at FROM (
           SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_at DESC) AS place

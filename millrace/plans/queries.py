@@ -333,6 +333,11 @@ def full_run_gold(spark, folder):
     return _full_run(spark, folder).read("gold.top_converting_items")
 
 
+def full_run_quality(spark, folder):
+    """DQ-1: the quality report that a full run leaves."""
+    return _full_run(spark, folder).read("silver.quality_report")
+
+
 def segments_job(spark, folder):
     """JOB-5 over the silver tables of a full run: segments per label."""
     store = _full_run(spark, folder)
@@ -562,6 +567,7 @@ ALL: dict[str, Query] = {
     "quality_report": quality_report,
     "latest_by_key": latest_users,
     "incremental_ingest": incremental_ingest,
+    "full_run_quality": full_run_quality,
     "segments_job": segments_job,
     "full_run_gold": full_run_gold,
     "rejected_rows": rejected_rows,

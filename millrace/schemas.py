@@ -121,6 +121,9 @@ TABLES: dict[str, Table] = {
         "received_at",
         "received_day",
     ),
+    "silver.quality_report": Table(
+        "table_name STRING, rule STRING, failed BIGINT, total BIGINT"
+    ),
     "gold.top_selling_items": Table(
         "item_id BIGINT, item_name STRING, item_category STRING, total_revenue DECIMAL(24,2)"
     ),

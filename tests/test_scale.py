@@ -54,6 +54,7 @@ LAZY = [
         "embedding_write_back",
         "rejected_rows",
         "full_run_gold",
+        "full_run_quality",
         "segments_job",
         "pageviews_source_files",
     )
