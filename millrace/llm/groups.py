@@ -1,10 +1,11 @@
 """Groups of items joined by confirmed links, found without listing all pairs of a bucket.
 
-Items that may be linked share a bucket. In a round each item is checked against one leader, the most
-central item of another group that it meets in a bucket, so a large group of copies costs one pair per
-item. What the rounds leave apart is compared fully, but only in buckets that still hold several groups,
-and there only the items outside the bucket's largest group with the items of other groups. A link inside
-a group is never needed again, so the groups are those of all links between items that share a bucket.
+Items that may be linked share a bucket. In a round (one by default) each item is checked against one
+leader, the most central item of another group that it meets in a bucket, so a large group of copies
+costs one pair per item. What that leaves apart is compared fully, but only in buckets that still hold
+several groups, and there only the items outside the bucket's largest group with the items of other
+groups. A link inside a group is never needed again, so the groups are those of all links between items
+that share a bucket.
 
 The full comparison takes buckets with the same largest group together, as a family, and cuts a family
 into blocks of bounded weight: a block of outside items meets a block of all items in one task, which
@@ -92,7 +93,7 @@ def linked_groups(
     confirm: Confirm,
     compare: Callable[[DataFrame], DataFrame],
     name: str,
-    rounds: int = 2,
+    rounds: int = 1,
 ) -> DataFrame:
     """(id, root) of every item with a confirmed link. ``members``: bucket, id, once each.
 
