@@ -31,16 +31,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     """
     links = edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     links = cut(links.distinct(), name)
-    before = None
-    while True:
-        state = links.agg(
-            F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("mark")
-        ).first()
-        if state == before or not state["n"]:
-            return links.select(F.col("b").alias("id"), F.col("a").alias("root")).union(
-                links.select(F.col("a").alias("id"), F.col("a").alias("root"))
-            ).distinct()
-        before = state
+    while not _only_stars(links):
         both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             links.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
@@ -55,6 +46,20 @@ def components(edges: DataFrame, name: str) -> DataFrame:
             .distinct(),
             name,
         )
+    return (
+        links.select(F.col("b").alias("id"), F.col("a").alias("root"))
+        .union(links.select(F.col("a").alias("id"), F.col("a").alias("root")))
+        .distinct()
+    )
+
+
+def _only_stars(links: DataFrame) -> bool:
+    """Whether every larger end has one link and is no smaller end."""
+    ends = links.select(F.col("a").alias("id"), F.lit(0).alias("larger")).union(
+        links.select(F.col("b").alias("id"), F.lit(1).alias("larger"))
+    )
+    roles = ends.groupBy("id").agg(F.max("larger").alias("larger"), F.count("*").alias("n"))
+    return roles.where("larger = 1 and n > 1").count() == 0
 
 
 def _mixed(placed: DataFrame, name: str) -> DataFrame:
