@@ -178,6 +178,13 @@ def test_fuzzy_lines(spark, make_text, words):
     assert fuzzy_lines.without_repeats(docs.limit(0)).count() == 0
 
 
+def test_short_lines_are_removed_too(spark):
+    chinese = "这是一行没有空格的文字" * 4
+    rows = [(1, f"Menu\n---\n{chinese}\n \nkept one"), (2, f"menu!\n---\n\n{chinese}\n \n===")]
+    got = fuzzy_lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.text, r.n_removed) for r in got} == {1: (rows[0][1], 0), 2: ("\n \n===", 3)}
+
+
 def test_close_simhashes_share_a_block():
     rng = np.random.default_rng(1)
     for _ in range(200):
