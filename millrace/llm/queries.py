@@ -51,7 +51,7 @@ def op1_bloom_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return fuzzy_lines.without_repeats(documents(spark, folder)).select("doc_id", "n_lines", "n_removed", "text")
+    return fuzzy_lines.without_repeats(documents(spark, folder), by_grams=True).select("doc_id", "n_lines", "n_removed", "text")
 
 
 @query

@@ -185,6 +185,42 @@ def test_short_lines_are_removed_too(spark):
     assert {r.doc_id: (r.text, r.n_removed) for r in got} == {1: (rows[0][1], 0), 2: ("\n \n===", 3)}
 
 
+def key_sets(texts):
+    keys = fuzzy_lines.gram_keys(texts, 0.8)
+    return [{k[i : i + fuzzy_lines.KEY] for i in range(0, len(k), fuzzy_lines.KEY)} for k in keys]
+
+
+def test_similar_lines_share_a_key(make_text):
+    """Against edit distance alone: short lines always, lines with one changed word of any length."""
+    rng = random.Random(8)
+    for size in range(1, 33):
+        for _ in range(40):
+            one = "".join(rng.choices("abcde ", k=size))
+            two = list(one)
+            for _ in range(rng.randint(0, 9)):
+                place = rng.randrange(len(two) + 1)
+                two[place : place + rng.randint(0, 1)] = rng.choices("abxyé", k=rng.randint(0, 1))
+            two = "".join(two)
+            if two and edit_distance(one, two) <= int(max(len(one), len(two)) * 0.2 + 1e-9):
+                assert set.intersection(*key_sets([one, two])), (one, two)
+    pairs = []
+    for i in range(300):
+        own = make_text(i, 1, rng.randint(5, 60)).lower().split()
+        k = rng.randrange(len(own))
+        pairs.append((" ".join(own), " ".join([*own[:k], own[k] + "x", *own[k + 1 :]])))
+    pairs = [p for p in pairs if edit_distance(*p) <= int(max(map(len, p)) * 0.2)]
+    found = key_sets([t for p in pairs for t in p])
+    assert len(pairs) > 250 and sum(bool(a & b) for a, b in zip(found[::2], found[1::2])) >= 0.99 * len(pairs)
+
+
+def test_lines_with_a_changed_word_are_removed(spark):
+    first = "the quick brown fox jumps over the lazy dog near the river\nshort one here\n日本語の長い行です"
+    second = "the quick brown foxx jumps over the lazy dog near the river\nshort one hera\n日本語の長い行だす"
+    docs = spark.createDataFrame([(1, first), (2, second + "\nown")], "doc_id long, text string")
+    got = fuzzy_lines.without_repeats(docs, by_grams=True).collect()
+    assert {r.doc_id: (r.text, r.n_removed) for r in got} == {1: (first, 0), 2: ("own", 3)}
+
+
 def test_close_simhashes_share_a_block():
     rng = np.random.default_rng(1)
     for _ in range(200):
