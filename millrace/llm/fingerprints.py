@@ -192,7 +192,9 @@ def _successive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket, last = None, None
     for batch in pieces(batches, ROUND):
         for row in batch.to_pylist():
-            if last is not None and row["bucket"] == bucket:
+            if last is not None:
+                if row["bucket"] != bucket:
+                    raise ValueError(f"no next document for doc_id {last[0]}")
                 rows.append((*last, row["text"]))
                 last = None
             if not row["extra"]:
@@ -200,10 +202,23 @@ def _successive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(rows) >= ROUND:
                 yield _compare(rows)
                 rows = []
+    if last is not None:
+        raise ValueError(f"no next document for doc_id {last[0]}")
     if rows:
         yield _compare(rows)
 
 
+def _range_of(starts: list[int]):
+    """The number of the range a place lies in; what lies below the first start belongs to the first range."""
+    places = np.unique(np.array(starts, np.int64))
+
+    @F.pandas_udf("int")
+    def range_of(place: pd.Series) -> pd.Series:
+        return pd.Series(np.maximum(np.searchsorted(places, place.to_numpy(np.int64), side="right") - 1, 0), dtype="int32")
+
+    return range_of
+
+
 def versions(docs: DataFrame) -> DataFrame:
     """Fingerprints of every document and of its edited text, and the likeness to it and to the next document.
 
@@ -213,7 +228,8 @@ def versions(docs: DataFrame) -> DataFrame:
     no rows, no result. The two last columns count the differing paragraphs that were recovered.
 
     One shuffle moves the texts: ids are cut into ranges by approximate quantiles, one per partition, and
-    the first document of a range also goes to the end of the range before, as its last one's next.
+    the first document of a range also goes to the end of the range before, as its last one's next. Quantiles
+    are doubles, which hold few of the ids above 2^53, so a range starts at the least id found in it.
     """
     spark_rows = docs.select(
         "doc_id",
@@ -225,13 +241,12 @@ def versions(docs: DataFrame) -> DataFrame:
     ids = spark_rows.select("place")
     lowest = ids.agg(F.min("place")).first()[0]
     found = ids.approxQuantile("place", [k / parts for k in range(1, parts)], 0.2 / parts) if lowest is not None else []
-    starts = np.unique(np.array([lowest if lowest is not None else 0, *map(int, found)], np.int64))
-
-    @F.pandas_udf("int")
-    def range_of(place: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(starts, place.to_numpy(np.int64), side="right") - 1, dtype="int32")
+    near = [lowest if lowest is not None else 0, *(min(int(x), 2**63 - 1) for x in found)]
+    rough = ids.groupBy(_range_of(near)("place").alias("range")).agg(F.min("place").alias("start"))
+    starts = sorted(r["start"] for r in rough.collect())  # one a partition at most
+    range_of = _range_of(starts)
 
-    opening = F.col("place").isin([int(s) for s in starts])
+    opening = F.col("place").isin(starts)
     before = F.when(F.col("bucket") == 0, F.lit(len(starts) - 1)).otherwise(F.col("bucket") - 1)
     copies: Column = F.when(
         opening,

@@ -214,3 +214,16 @@ def test_fingerprints(spark, docs, nothing, corpus, make_text):
     assert fingerprints.versions(docs).count() == len(corpus)  # null and repeated ids too
     assert fingerprints.versions(nothing).count() == 0
     assert fingerprints.versions(docs.where("doc_id = 20")).first().near_next == 1.0
+
+
+def test_fingerprints_of_large_ids(spark, make_text):
+    """Ids above 2^53 that no double holds, up to both ends of the range, each have a row."""
+    rng = np.random.default_rng(5)
+    ids = sorted({*(2 * int(i) + 1 for i in rng.integers(-(2**62), 2**62, 60)), 2**63 - 1, 2**63 - 2, -(2**63) + 1})
+    texts = {key: make_text(i, 2) for i, key in enumerate(ids)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    rows = {r.doc_id: r for r in fingerprints.versions(docs).collect()}
+    assert sorted(rows) == ids
+    for key, following in zip(ids, [*ids[1:], ids[0]]):
+        changed = fingerprints.edited(texts[key], texts[following])
+        assert rows[key].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
