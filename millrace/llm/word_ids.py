@@ -2,7 +2,8 @@
 
 The tokenizers library encodes a long text at about 1 MB a second. A text is therefore cut where the
 tokenizer's own pattern always cuts, and the library is asked only for pieces that the worker's bounded
-cache lacks; the ids are those of the whole text.
+cache lacks; the ids are those of the whole text. A text that contains a special token goes to the library
+whole.
 """
 
 from __future__ import annotations
@@ -51,14 +52,18 @@ def latin(text: str) -> bool:
 
 class TextEncoder:
     """Ids as little-endian unsigned bytes of ``dtype``. ``drops_space`` says whether the tokenizer lower-cases
-    and ignores white space, with a mark on each word's last token, or keeps spaces as parts of words."""
+    and ignores white space, with a mark on each word's last token, or keeps spaces as parts of words. ``special``:
+    special tokens in a text get their own ids, as by the file as loaded; else they are text like any other."""
 
-    def __init__(self, path: str, cached: int = CACHED) -> None:
+    def __init__(self, path: str, cached: int = CACHED, special: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
+        self.library.encode_special_tokens = True  # but for whole texts with such tokens, see encode
+        added = [t.content for t in self.library.get_added_tokens_decoder().values() if t.special]
+        # more texts than needed do no harm: some tokens are looked for in lower case
+        self.special = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if special and added else None
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 2**16 else "<u4")
         self.drops_space = not self.library.encode(" ", add_special_tokens=False).ids
         self.ends = np.zeros(self.library.get_vocab_size(), bool)
@@ -126,6 +131,18 @@ class TextEncoder:
     def encode(self, texts: Iterable[str]) -> list[np.ndarray]:
         """The ids of each text."""
         texts = list(texts)
+        whole = [i for i, t in enumerate(texts) if self.special and self.special.search(t)]
+        if not whole:
+            return self._encode(texts)
+        self.library.encode_special_tokens = False
+        try:
+            direct = dict(zip(whole, self._direct([texts[i] for i in whole])))
+        finally:
+            self.library.encode_special_tokens = True
+        cut = iter(self._encode([t for i, t in enumerate(texts) if i not in direct]))
+        return [np.frombuffer(direct[i], self.dtype) if i in direct else next(cut) for i in range(len(texts))]
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         # Words are looked up without the space before them where each of them has exactly that.
         keeps = not self.drops_space
         each: list[list[str]] = []
@@ -155,5 +172,5 @@ class TextEncoder:
 
 @functools.cache
 def encoder(path: str) -> TextEncoder:
-    """One encoder for all tasks of a worker."""
-    return TextEncoder(path)
+    """One encoder for all tasks of a worker; its ids are those of the file as loaded."""
+    return TextEncoder(path, special=True)

@@ -15,7 +15,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from millrace.llm import fingerprints, lp_packing, matrix_bpe, ranked_ids, size_shards
-from millrace.llm.word_ids import TextEncoder
+from millrace.llm.word_ids import TextEncoder, encoder
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -227,3 +227,19 @@ def test_fingerprints_of_large_ids(spark, make_text):
     for key, following in zip(ids, [*ids[1:], ids[0]]):
         changed = fingerprints.edited(texts[key], texts[following])
         assert rows[key].edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_special_tokens_in_a_text_get_their_own_ids(path, spark):
+    texts = ["x<|endoftext|>y", "plain text", "<|startoftext|> a  b<|endoftext|><|endoftext|>\n c", "<|ENDOFTEXT|>", *ODD]
+    plain = Tokenizer.from_file(path)
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    own = encoder(path)
+    assert [ids.tolist() for ids in own.encode(texts)] == want
+    assert [ids.tolist() for text in texts for ids in own.encode([text])] == want
+    docs = spark.createDataFrame(list(enumerate(texts[:4])), "doc_id long, text string")
+    rows = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in ranked_ids.round_trip(docs, path).collect()}
+    assert rows == {i: (len(ids) + 1, crc([*ids, 2])) for i, ids in enumerate(want[:4])}
+    pieces = {r.doc_id: (r.length, r.ids_crc32) for r in lp_packing.pack(docs, BYTES).collect()}
+    ids = [e.ids + [0] for e in Tokenizer.from_file(BYTES).encode_batch(texts[:4], add_special_tokens=False)]
+    assert pieces == {i: (len(x), crc(x)) for i, x in enumerate(ids)}
