@@ -13,12 +13,15 @@ from millrace.llm import (
     byte_cnn,
     fingerprints,
     fuzzy_lines,
+    line_resampling,
     lp_packing,
     matrix_bpe,
     norm_search,
     oracle,
+    pareto_mix,
     ranked_ids,
     size_shards,
+    token_alignment,
     trigram_scan,
 )
 from millrace.session import prepare
@@ -123,6 +126,24 @@ def op10_bbit_minhash(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_pointer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return token_alignment.aligned(documents(spark, folder), a, b).drop("groups")
+
+
+@query
+def op12_pareto_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return pareto_mix.mix(documents(spark, folder)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op13_line_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = prepare(spark).read.parquet(f"{folder}/benchmark.parquet")
+    drawn = line_resampling.resampled(documents(spark, folder), benchmark)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
