@@ -54,6 +54,55 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, cast(rank AS integer) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+#: op13. crc32 byte by byte over each distinct word, by the table that its polynomial gives.
+RESAMPLING = r"""
+WITH RECURSIVE crc_steps(n, c, step) AS (
+    SELECT range, range, 0 FROM range(256)
+    UNION ALL
+    SELECT n, CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END, step + 1 FROM crc_steps WHERE step < 8),
+crc_table AS (SELECT n, c FROM crc_steps WHERE step = 8),
+own AS (SELECT row_number() OVER () AS row_id, doc_id, text FROM documents),
+found AS (
+    SELECT row_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM own),
+wanted AS (
+    SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM benchmark),
+hashing(word, digits, place, crc) AS (
+    SELECT word, hex(encode(word)), 0, 4294967295::bigint FROM (SELECT word FROM found UNION SELECT word FROM wanted)
+    UNION ALL
+    SELECT word, digits, place + 1, xor(t.c, crc // 256)
+    FROM hashing JOIN crc_table t ON t.n = xor(crc % 256, ('0x' || digits[2 * place + 1 : 2 * place + 2])::bigint)
+    WHERE 2 * place < length(digits)),
+words AS (SELECT word, xor(crc, 4294967295) % 10000 AS bucket FROM hashing WHERE 2 * place = length(digits)),
+corpus AS (SELECT bucket, count(*) AS n FROM found JOIN words USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS n FROM wanted JOIN words USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, cast(floor(1000 * ln((coalesce(t.n, 0) + 1) * (SELECT coalesce(sum(n), 0) + 10000 FROM corpus)
+        / ((c.n + 1)::double * (SELECT coalesce(sum(n), 0) + 10000 FROM target)))) AS bigint) AS gain
+    FROM corpus c LEFT JOIN target t USING (bucket)),
+summed AS (
+    SELECT row_id, count(*) AS n_features, cast(sum(gain) AS bigint) AS total
+    FROM found JOIN words USING (word) JOIN gains USING (bucket) GROUP BY row_id),
+weighed AS (
+    SELECT doc_id, coalesce(n_features, 0) AS n_features,
+        coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0) AS weight,
+        ('0x' || sha256('2024:' || coalesce(cast(doc_id AS varchar), ''))[1:8])::bigint AS h
+    FROM own LEFT JOIN summed USING (row_id)),
+scored AS (
+    SELECT doc_id, n_features, weight, weight + cast(floor(-1000 * ln(-ln((h + 0.5::double) / 4294967296))) AS bigint) AS score
+    FROM weighed),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS place,
+        count(*) OVER (PARTITION BY n_features >= 20) AS n FROM scored)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN place END AS rank FROM ranked
+"""
+
 
 def statements() -> dict[str, str]:
-    return {"op8_norm_pruned_top_k": TOP_K, "op9_trigram_secret_scan": SECRETS}
+    return {
+        "op8_norm_pruned_top_k": TOP_K,
+        "op9_trigram_secret_scan": SECRETS,
+        "op13_line_resampling": RESAMPLING,
+    }

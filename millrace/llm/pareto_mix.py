@@ -73,7 +73,7 @@ def targets(sizes: DataFrame, weights: Sequence[int], percent: int, most: int) -
 
 
 def _nearest_runs(placed: DataFrame) -> DataFrame:
-    """(place, down, upto): of each source and class the number of first rows that get one more copy."""
+    """(place, down, end_row): of each source and class the row before which all rows get one more copy."""
     classes = placed.groupBy("place", "down").agg(
         F.min("row_index").alias("first_row"),
         F.min("sum_before").alias("first_sum"),
@@ -93,17 +93,17 @@ def _nearest_runs(placed: DataFrame) -> DataFrame:
         else:
             open_classes = open_classes.withColumn("words", F.lit(0))
         due = open_classes.select(
-            "place", "first_row", "first_sum", (F.col("due") - F.coalesce("words", F.lit(0))).alias("due")
+            "place", "first_sum", (F.col("due") - F.coalesce("words", F.lit(0))).alias("due")
         )
         run = placed.where(F.col("down") == down).join(due, "place")
         run = run.withColumn("words", F.col("sum_before") - F.col("first_sum") + F.col("size"))
-        run = run.withColumn("upto", F.col("row_index") - F.col("first_row") + 1)
+        run = run.withColumn("end_row", F.col("row_index") + 1)
         run = run.withColumn("gap", F.abs(F.col("words") - F.col("due")))
-        best = run.where(F.col("gap") < F.abs("due")).groupBy("place").agg(F.min(F.struct("gap", "upto", "words")).alias("best"))
-        chosen.append(cut(best.select("place", F.lit(down).alias("down"), "best.upto", "best.words"), "mix-chosen"))
+        best = run.where(F.col("gap") < F.abs("due")).groupBy("place").agg(F.min(F.struct("gap", "end_row", "words")).alias("best"))
+        chosen.append(cut(best.select("place", F.lit(down).alias("down"), "best.end_row", "best.words"), "mix-chosen"))
     if not chosen:
-        return classes.select("place", "down", F.lit(0).cast("long").alias("upto"), F.lit(0).cast("long").alias("words")).limit(0)
-    return reduce(DataFrame.union, chosen)
+        return classes.select("place", "down", F.col("first_row").alias("end_row"))
+    return reduce(DataFrame.union, chosen).select("place", "down", "end_row")
 
 
 def mix(
@@ -135,11 +135,9 @@ def mix(
     known = known.withColumn("ratio", F.when(F.col("extra") > 0, ratio)).drop("u")
     known = known.withColumn("down", -F.ceil(F.length(F.bin("size")) / 2).cast("int"))
     placed = cut(with_prefix_sums(known, ["place", "down", "ratio", "doc_id", "size"], "size", "mix-order"), "mix-placed")
-    runs = _nearest_runs(placed).select("place", "down", "upto")
-    firsts = placed.groupBy("place", "down").agg(F.min("row_index").alias("first_row"))
-    cuts = firsts.join(runs, ["place", "down"])
-    drawn = placed.join(cuts, ["place", "down"], "left").withColumn(
-        "copies", F.col("whole") + F.coalesce((F.col("row_index") - F.col("first_row") < F.col("upto")).cast("int"), F.lit(0))
+    runs = cut(_nearest_runs(placed), "mix-runs")  # written, so that Spark knows how small it is
+    drawn = placed.join(runs, ["place", "down"], "left").withColumn(
+        "copies", F.col("whole") + F.coalesce((F.col("row_index") < F.col("end_row")).cast("int"), F.lit(0))
     )
     return drawn.select(
         "doc_id", "source", "size", "source_size", "target", F.col("copies").cast("int").alias("copies"),

@@ -30,7 +30,7 @@ from millrace.llm.word_ids import TextEncoder
 BATCH_CHARS = 2_000_000  # of text that are aligned together; a longer text is a batch of its own
 BATCH_ROWS = 20_000
 LINKS = 2_000_000  # id pairs of groups that are in memory at a time
-CACHED = 150_000  # pieces of text kept by a worker for each tokenizer
+CACHED = 500_000  # pieces of text kept by a worker at each level, about 100 MB a level
 
 _SEGMENT = re.compile(" +[^ ]*")
 
@@ -58,8 +58,11 @@ class ByteLevelSide:
         for entry, number in entries.items():
             self.shown[number] = bytes(table[c] for c in entry) if all(c in table for c in entry) else entry.encode()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return self.encoder.encode([" " + t for t in texts])
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of a space and each text, None if it does not come back."""
+        get = self.shown.__getitem__
+        found = self.encoder.encode([" " + t for t in texts])
+        return [x if b"".join(map(get, x.tolist())) == b" " + t.encode() else None for x, t in zip(found, texts)]
 
 
 class PieceSide:
@@ -83,22 +86,33 @@ class PieceSide:
         joined = b"".join(self.shown[i] for i in self.library.encode(same)).decode(errors="replace")
         self.apart = joined == " " + same and not any(re.search("[^▁]▁", e) for e in entries)
         self.space = self.library.piece_to_id("▁")
-        self.known: dict[str, np.ndarray] = {}
-
-    def _whole(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, np.int32) for ids in self.library.encode(texts, num_threads=1)]
+        self.known: dict[str, bytes | None] = {}
+
+    def _checked(self, texts: list[str]) -> list[bytes | None]:
+        """Ids as 4-byte numbers, None if their bytes are not those of a space and the text."""
+        get = self.shown.__getitem__
+        return [
+            np.array(ids, "<i4").tobytes() if b"".join(map(get, ids)) == b" " + text.encode() else None
+            for text, ids in zip(texts, self.library.encode(texts, num_threads=1))
+        ]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Ids of each text, None if it does not come back."""
         if not self.apart:
-            return self._whole(texts)
-        parts = [_SEGMENT.findall(" " + t) for t in texts]
+            return [None if held is None else np.frombuffer(held, "<i4") for held in self._checked(texts)]
+        # Where single spaces part the words, the words without them are enough to look up.
+        parts = [t.split(" ") if "  " not in t and t[:1] != " " and t[-1:] != " " else [p[1:] for p in _SEGMENT.findall(" " + t)] for t in texts]
         if len(self.known) > CACHED:
             self.known.clear()
         new = list(set().union(*parts).difference(self.known))
-        self.known.update(zip(new, self._whole([p[1:] for p in new])))
-        self.known[" "] = np.array([self.space], np.int32)  # the library has no ids for the empty text
+        self.known.update(zip(new, self._checked(new)))
+        self.known[""] = np.array([self.space], "<i4").tobytes()  # the library has no ids for the empty text
         get = self.known.__getitem__
-        return [np.concatenate([get(p) for p in some]) for some in parts]
+        out = []
+        for some in parts:
+            found = list(map(get, some))
+            out.append(None if None in found else np.frombuffer(b"".join(found), "<i4"))
+        return out
 
 
 @functools.cache
@@ -208,7 +222,7 @@ def _written_ids(size: int) -> list[str]:
 
 
 def _summed(text: np.ndarray, pair: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((pair, text))
+    order = np.argsort(text << 40 | pair, kind="stable")  # pairs of vocabularies of up to 2**20 ids each
     text, pair, links = text[order], pair[order], links[order]
     new = np.ones(len(text), bool)
     new[1:] = (text[1:] != text[:-1]) | (pair[1:] != pair[:-1])
@@ -220,11 +234,7 @@ def align(texts: list[str | None], a: ByteLevelSide, b: PieceSide) -> Aligned:
     """Texts that are null, empty or do not come back from both sides byte by byte have no tokens."""
     given = [(i, t) for i, t in enumerate(texts) if t]
     own = [t for _, t in given]
-    ids = []
-    for (i, t), x, y in zip(given, a.encode(own), b.encode(own)):
-        raw = b" " + t.encode()
-        if b"".join(map(a.shown.__getitem__, x.tolist())) == raw and b"".join(map(b.shown.__getitem__, y.tolist())) == raw:
-            ids.append((i, x, y))
+    ids = [(i, x, y) for (i, _), x, y in zip(given, a.encode(own), b.encode(own)) if x is not None and y is not None]
     number = np.array([i for i, _, _ in ids], np.int64)
 
     def joined(side: int) -> tuple[np.ndarray, np.ndarray]:
