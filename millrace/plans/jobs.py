@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
 from collections.abc import Callable, Sequence
 
@@ -15,6 +16,7 @@ from millrace.session import scratch_dir
 from millrace.sources.relational import Source, last_cursor, read_incremental
 from millrace.streaming import changes as change_streams
 from millrace.streaming import logins as login_streams
+from millrace.streaming import sales
 from millrace.streaming.pageviews import ingest_pageviews
 from millrace.tables import Store
 
@@ -47,9 +49,9 @@ def run_all(job: str, steps: dict[str, Callable[[], object]]) -> dict[str, objec
     return results
 
 
-def write_logged(store: Store, df: DataFrame, name: str, mode: str) -> int:
+def write_logged(store: Store, df: DataFrame, name: str, mode: str, run: str | None = None) -> int:
     """A-11: write a table and log how many rows it got."""
-    rows = store.write(df, name, mode)
+    rows = store.write(df, name, mode, run=run)
     log.info("%s: %s rows", name, rows)
     return rows
 
@@ -76,7 +78,9 @@ def load_table(store: Store, source: Source, table: str, partitions: int, lookba
     if schemas.may_reject(staged, name):
         run = F.xxhash64(F.lit(name), F.lit(last_cursor(target, "updated_at", lookback)))
         store.write(refused.withColumn("batch_id", run), "bronze.rejected_rows")
-    written = write_logged(store, fitting, name, "append")
+    # The rows' run is named likewise: a run that died before it kept its cursor is replaced by the next one.
+    begun = hashlib.sha256(f"{last_cursor(target, 'updated_at', lookback)}".encode()).hexdigest()[:16]
+    written = write_logged(store, fitting, name, "append", begun)
     reached = staged.agg(F.lit(name).alias("table_name"), F.max("updated_at").alias("updated_at"))
     store.write(reached.filter("updated_at IS NOT NULL"), CURSORS, "overwrite")
     return written
@@ -203,9 +207,10 @@ def watch_logins(
 
 
 def follow_purchases(store: Store, messages: DataFrame, checkpoints: str) -> None:
-    """JOB-7: the log, and the newest versions that the dashboards read."""
+    """JOB-7: the log, the newest versions, and the sales that the dashboards read."""
     change_streams.ingest_purchase_changes(store, messages, f"{checkpoints}/purchases")
-    change_streams.keep_newest(store)
+    if change_streams.keep_newest(store):
+        sales.fold_sales(store)
 
 
 def follow_items(
@@ -228,8 +233,17 @@ def embed_reviews(store: Store, make_encoder: Callable[[], Encoder]) -> int:
         store, vectors.new_embeddings(todo, make_encoder), "rt.review_embeddings", "append"
     )
     if written:
-        filled = vectors.write_back(reviews, store.read("rt.review_embeddings"))
-        store.write(filled, "rt.reviews", mode="replace")
+        made = store.read("rt.review_embeddings")
+        if store.catalog:
+            store.write(vectors.write_back(reviews, made), "rt.reviews", mode="replace")
+            return written
+        # Only the buckets of reviews that lack an embedding made by now are read whole and rewritten.
+        lacking = reviews.filter(F.col("review_embedding").isNull()).select("review_id", "bucket")
+        touched = lacking.join(made.select("review_id"), "review_id", "left_semi").select("bucket").distinct()
+        buckets = [row.bucket for row in touched.collect()]  # schemas.BUCKETS at most
+        old = reviews.filter(F.col("bucket").isin(buckets))
+        new = made.filter(F.expr(schemas.bucket_of("review_id")).isin(buckets))
+        store.write(vectors.write_back(old, new), "rt.reviews", mode="overwrite")
     return written
 
 

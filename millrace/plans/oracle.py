@@ -283,6 +283,12 @@ STATEMENTS = {
         FROM latest WHERE NOT deleted
           AND created_at >= TIMESTAMP '2024-01-31 00:00:00' - INTERVAL '24' HOUR
         GROUP BY 1 ORDER BY 1""",
+    "hourly_sales_within_hour": """
+        SELECT date_trunc('hour', created_at) AS hour, CAST(sum(quantity) AS BIGINT) AS total_sales,
+          CAST(sum(quantity * purchase_price) AS DOUBLE) AS total_revenue
+        FROM latest WHERE NOT deleted
+          AND created_at >= TIMESTAMP '2024-01-31 00:30:00' - INTERVAL '24' HOUR
+        GROUP BY 1 ORDER BY 1""",
     "top_products": """
         SELECT item_id, CAST(sum(quantity) AS BIGINT) AS total_quantity,
           CAST(sum(quantity * purchase_price) AS DOUBLE) AS total_revenue

@@ -14,7 +14,6 @@ from pyspark.sql.types import DateType, DecimalType, TimestampType
 from millrace.functions import times
 from millrace.operators import (
     changes,
-    dashboard,
     gold,
     logins,
     quality,
@@ -31,6 +30,7 @@ from millrace.sources.files import read_geo, read_logins
 from millrace.sources.relational import ParquetSource
 from millrace.streaming import changes as change_streams
 from millrace.streaming import logins as logins_stream
+from millrace.streaming import sales
 from millrace.streaming.pageviews import ingest_pageviews
 from millrace.tables import Store
 
@@ -167,27 +167,37 @@ def _kept_purchases(spark: SparkSession, folder: str) -> Store:
     return store
 
 
-def hourly_sales_24h(spark, folder):
+def _kept_sales(spark: SparkSession, folder: str) -> Store:
+    """Both versions folded; the sums hold the first fold, the second is in the changes after them."""
     store = _kept_purchases(spark, folder)
-    since = dashboard.since(AS_OF)
-    return dashboard.hourly_sales(change_streams.newest_purchases(store, since), AS_OF)
+    sales.fold_sales(store)
+    change_streams.keep_newest(store)
+    return store
+
+
+def hourly_sales_24h(spark, folder):
+    return sales.hourly_sales(_kept_sales(spark, folder), AS_OF)
 
 
 def top_products(spark, folder):
-    newest = change_streams.newest_purchases(_kept_purchases(spark, folder))
-    return dashboard.top_products(newest.select(*dashboard.NEEDED))
+    return sales.top_products(_kept_sales(spark, folder))
 
 
 def kpis(spark, folder):
-    newest = change_streams.newest_purchases(_kept_purchases(spark, folder))
-    return dashboard.kpis(newest.select(*dashboard.NEEDED))
+    return sales.kpis(_kept_sales(spark, folder))
+
+
+def hourly_sales_within_hour(spark, folder):
+    """A-6 from half past an hour on: the first hour comes from the newest versions."""
+    store = _kept_sales(spark, folder)
+    return sales.hourly_sales(store, f"{AS_OF} 00:30:00", change_streams.newest_purchases(store))
 
 
 def purchases_kept_newest(spark, folder):
     """The kept table after the second fold."""
     store = _kept_purchases(spark, folder)
     change_streams.keep_newest(store)
-    return store.read("rt.purchases_newest").drop("created_month", "log_position", "last_batch")
+    return store.read("rt.purchases_newest").drop("bucket", "log_position", "last_batch")
 
 
 def purchases_equal_times(spark, folder):
@@ -551,6 +561,7 @@ ALL: dict[str, Query] = {
     "rt_purchases_latest": rt_purchases_latest,
     "rt_purchase_errors": rt_purchase_errors,
     "hourly_sales_24h": hourly_sales_24h,
+    "hourly_sales_within_hour": hourly_sales_within_hour,
     "top_products": top_products,
     "kpis": kpis,
     "purchases_equal_times": purchases_equal_times,

@@ -37,6 +37,18 @@ def _by_day(ddl: str, column: str, name: str, log: bool = False) -> Table:
     return Table(ddl, (name,), {name: f"to_date({column})"}, log)
 
 
+BUCKETS = 64  # parts of a table that is rewritten by hash of its key
+
+
+def bucket_of(key: str) -> str:
+    """The bucket of a key, as SQL text; a string, as partition values are."""
+    return f"cast(pmod(hash({key}), {BUCKETS}) AS string)"
+
+
+def _by_bucket(ddl: str, key: str) -> Table:
+    return Table(ddl, ("bucket",), {"bucket": bucket_of(key)})
+
+
 def _by_category(ddl: str) -> Table:
     """The key is a copy: a folder name cannot tell an empty category from a missing one."""
     return Table(ddl, ("category_key",), {"category_key": "category"})
@@ -148,14 +160,27 @@ TABLES: dict[str, Table] = {
         {"created_month": "date_format(created_at, 'yyyyMM')"},
         log=True,
     ),
-    # The newest version of every purchase up to a batch of the log; last_batch names it.
-    "rt.purchases_newest": Table(
+    # The newest version of every purchase up to a batch of the log. last_batch is the batch up to which a
+    # bucket was folded when it was last rewritten, the greatest one that of the table.
+    "rt.purchases_newest": _by_bucket(
         "id BIGINT, user_id BIGINT, item_id BIGINT, campaign_id STRING, status SMALLINT, "
         "quantity INT, purchase_price DECIMAL(12,2), deleted BOOLEAN, created_at TIMESTAMP, "
         "updated_at TIMESTAMP, log_position BIGINT, last_batch BIGINT",
-        ("created_month",),
-        {"created_month": "date_format(created_at, 'yyyyMM')"},
+        "id",
+    ),
+    # What each fold adds to and takes from the sales of an hour and item.
+    "rt.sales_changes": Table(
+        "hour TIMESTAMP, item_id BIGINT, quantity BIGINT, revenue DECIMAL(38,2), purchases BIGINT", log=True
+    ),
+    # The sums of these changes up to a batch, the greatest through_batch.
+    "rt.sales_sums": Table(
+        "hour TIMESTAMP, item_id BIGINT, quantity BIGINT, revenue DECIMAL(38,2), purchases BIGINT, "
+        "through_batch BIGINT",
+        ("hour_month",),
+        {"hour_month": "date_format(hour, 'yyyyMM')"},
     ),
+    # The batch up to which the changes hold.
+    "rt.sales_position": Table("batch BIGINT"),
     # No day partition: a batch replayed after midnight must land in the same place.
     "rt.purchases_errors": Table(
         "_error STRING, _raw_message STRING, ingested_at TIMESTAMP", log=True
@@ -199,9 +224,10 @@ TABLES: dict[str, Table] = {
         "event_day",
         log=True,
     ),
-    "rt.reviews": Table(
+    "rt.reviews": _by_bucket(
         "review_id BIGINT, customer_name STRING, customer_email STRING, date DATE, review STRING, "
-        "review_embedding ARRAY<FLOAT>"
+        "review_embedding ARRAY<FLOAT>",
+        "review_id",
     ),
     # Embeddings made here, so that a few new ones do not rewrite all reviews.
     "rt.review_embeddings": Table("review_id BIGINT, embedding ARRAY<FLOAT>"),

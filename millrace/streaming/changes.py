@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.storagelevel import StorageLevel
 
 from millrace import schemas
 from millrace.operators import changes
+from millrace.streaming import sales
 from millrace.streaming.run import run_stream, shared_scan
 from millrace.tables import Store
 
@@ -48,23 +50,23 @@ def ingest_item_changes(store: Store, messages: DataFrame, checkpoint: str) -> N
 LOG, NEWEST = "rt.purchases", "rt.purchases_newest"
 
 
-def _kept_and_later(store: Store) -> tuple[DataFrame | None, DataFrame]:
-    """The kept newest versions, if there are any, and the part of the log that came after them."""
+def _kept_and_later(store: Store) -> tuple[DataFrame | None, int | None, DataFrame]:
+    """The kept newest versions, if there are any, the batch they reach, and the later part of the log."""
     log = store.read(LOG)
     if not store.exists(NEWEST):
-        return None, log
+        return None, None, log
     kept = store.read(NEWEST)
     last = kept.agg(F.max("last_batch")).first()[0]
-    return kept, log if last is None else log.filter(F.col("batch_id") > last)
+    return kept, last, log if last is None else log.filter(F.col("batch_id") > last)
 
 
 def newest_purchases(store: Store, since: str | None = None) -> DataFrame:
     """W-3: the newest version of every purchase, from the kept ones and the later log.
 
     A kept row stands unless the later log has its id; only those few ids are reduced again.
-    ``since`` (a time) leaves out purchases made before; it reaches the partitions of the kept ones.
+    ``since`` (a time) leaves out purchases made before.
     """
-    kept, later = _kept_and_later(store)
+    kept, _, later = _kept_and_later(store)
     names = [c for c in schemas.TABLES[NEWEST].schema.names if c != "last_batch"]
     log = later.select(*names, "batch_id")
     if kept is None:
@@ -73,24 +75,63 @@ def newest_purchases(store: Store, since: str | None = None) -> DataFrame:
         touched = log.select("id").distinct()
         again = kept.join(touched, "id", "left_semi").withColumn("batch_id", F.col("last_batch"))
         moved = changes.latest_purchases(log.unionByName(again.select(*log.columns)))
-        if since is not None:
-            month = F.date_format(F.lit(since).cast("timestamp"), "yyyyMM")
-            kept = kept.filter(F.col("created_month") >= month)
         still = kept.join(touched, "id", "left_anti")
         found = still.select(*moved.columns).unionByName(moved)
     return found if since is None else found.filter(F.col("created_at") >= F.lit(since).cast("timestamp"))
 
 
 def keep_newest(store: Store) -> int:
-    """W-3: fold the later log into the kept newest versions, as one rebalanced copy; the log stays as it
-    is. Returns the number of rows."""
-    kept, later = _kept_and_later(store)
-    names = [c for c in schemas.TABLES[NEWEST].schema.names if c != "last_batch"]
-    last = later.agg(F.max("batch_id")).first()[0]
+    """W-3, A-6 to A-8: fold the later log into the kept newest versions; returns the number of ids in it.
+
+    Only the hash buckets that the later log touches are read and rewritten. What the fold changes in the sales
+    goes to ``rt.sales_changes`` first: the version that a purchase had is taken off its hour and item, the one it
+    gets is added. A fold that died after that is taken up again with the same batches, so its changes replace
+    themselves; until a fold is through, ``rt.sales_position`` keeps them from being read. One fold at a time.
+    """
+    kept, reached, later = _kept_and_later(store)
+    last = _unfinished(store, reached)
     if last is None:
+        last = later.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        if reached is not None:
+            sales.set_position(store, reached)
         return 0
+    names = [c for c in schemas.TABLES[NEWEST].schema.names if c != "last_batch"]
     rows = later.filter(F.col("batch_id") <= last).select(*names, "batch_id")
-    if kept is not None:
-        rows = rows.unionByName(kept.withColumn("batch_id", F.col("last_batch")).select(*rows.columns))
     newest = changes.latest_by_key(rows, "id", changes.versions_of(rows, "updated_at"), names)
-    return store.write(newest.withColumn("last_batch", F.lit(last)), NEWEST, mode="replace")
+    bucket = F.expr(schemas.bucket_of("id"))
+    fresh = newest.withColumn("bucket", bucket).persist(StorageLevel.DISK_ONLY)
+    try:
+        touched = [row.bucket for row in fresh.select("bucket").distinct().collect()]  # BUCKETS at most
+        new = fresh.select("id", F.struct(*names).alias("new"))
+        if kept is None:
+            met = new.withColumn("old", F.lit(None).cast(new.schema["new"].dataType))
+        else:
+            old = kept if store.catalog else kept.filter(F.col("bucket").isin(touched))
+            old = old.select("id", F.struct(*names).alias("old"))
+            met = old.join(new, "id", "full")
+        # Batches after the kept ones are later in the log, so of equal times the new row wins.
+        wins = F.col("old").isNull() | (F.col("new.updated_at") >= F.col("old.updated_at"))
+        met = met.withColumn("now", F.when(F.col("new").isNotNull() & wins, F.col("new")).otherwise(F.col("old")))
+        met = met.persist(StorageLevel.DISK_ONLY)
+        try:
+            changed = met.filter(F.col("new").isNotNull() & wins).select("old", "now")
+            store.write(sales.signed_changes(changed), sales.CHANGES, batch_id=last)
+            store.write(met.select("now.*", F.lit(last).alias("last_batch")), NEWEST, mode="replace" if store.catalog else "overwrite")
+        finally:
+            met.unpersist()
+        folded = fresh.count()
+    finally:
+        fresh.unpersist()
+    sales.set_position(store, last)
+    return folded
+
+
+def _unfinished(store: Store, reached: int | None) -> int | None:
+    """The last batch of a fold that left its sales changes but not its newest versions."""
+    if not store.exists(sales.CHANGES):
+        return None
+    batches = store.read(sales.CHANGES)
+    if reached is not None:
+        batches = batches.filter(F.col("batch_id") > reached)
+    return batches.agg(F.max("batch_id")).first()[0]

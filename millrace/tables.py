@@ -4,11 +4,19 @@ On Parquet a full replacement is written beside the live copy. It becomes visibl
 numbered file naming it is renamed into place; the greatest number is the live copy, so a reader
 sees the old copy or the new one, and a job may read the table it replaces. The copy before the
 live one stays for readers that have begun, older ones are removed.
+
+A partitioned table (but a log) keeps copies of single partitions, ``day=…/copy=…``, and its numbered
+file lists the live ones. Overwriting some partitions or appending to them writes new copies and then
+a new list, so these too are seen whole or not at all, a job that dies leaves nothing visible, and
+partitions that a write does not touch keep their files.
+
+Log tables are read as streams from their folder; there a batch is a partition of its own.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
@@ -17,6 +25,7 @@ from pyspark.sql.types import LongType, StructType
 from millrace.schemas import TABLES
 
 MARKER = "_live-"  # followed by a growing number and the name of a finished copy
+COPY = "copy"  # the last folder level of a partitioned table
 
 
 @dataclass(frozen=True)
@@ -49,18 +58,37 @@ class Store:
         copies = self._copies(name)
         return f"{self._folder(name)}/{copies[-1][1]}" if copies else None
 
-    def _publish(self, name: str, version: str) -> None:
-        """Make a finished copy the live one, and remove all but the one before it."""
+    def _listed(self, name: str, marker: str) -> list[str]:
+        """What a marker lists: the live copies of a table's partitions, none for whole copies."""
+        fs, path = self._file_system(f"{self._folder(name)}/{marker}")
+        stream = fs.open(path)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return [line for line in text.split("\n") if line]
+        finally:
+            stream.close()
+
+    def partitions(self, name: str) -> list[str]:
+        """The live partition copies of a partitioned table, as folders below the table's."""
+        copies = self._copies(name)
+        return self._listed(name, copies[-1][0]) if copies else []
+
+    def _publish(self, name: str, version: str, listed: Sequence[str] = ()) -> None:
+        """Make a finished copy, or a list of partition copies, the live one, and remove what only markers
+        before the last one name."""
         fs, _ = self._file_system(self._folder(name))
         copies = self._copies(name)
         number = int(copies[-1][0].removeprefix(MARKER).partition("-")[0]) + 1 if copies else 0
         fresh = self._file_system(f"{self._folder(name)}/_new-{version}")[1]
-        fs.create(fresh, True).close()
+        stream = fs.create(fresh, True)
+        stream.write("\n".join(listed).encode())
+        stream.close()
         marker = self._file_system(f"{self._folder(name)}/{MARKER}{number:012d}-{version}")[1]
-        if not fs.rename(fresh, marker):
+        if fs.exists(marker) or not fs.rename(fresh, marker):
             raise OSError(f"cannot publish {marker}")
+        used = {*listed, *(self._listed(name, copies[-1][0]) if copies else ())}
         for old_marker, old in copies[:-1]:
-            for gone in (old_marker, old):
+            for gone in (*(c for c in self._listed(name, old_marker) if c not in used), old_marker, old):
                 fs.delete(self._file_system(f"{self._folder(name)}/{gone}")[1], True)
 
     def exists(self, name: str) -> bool:
@@ -94,7 +122,7 @@ class Store:
             live = self._live(name)
             if live is None:
                 raise FileNotFoundError(f"table {name} does not exist below {self.root}")
-            df = self.spark.read.schema(_stored(name)).parquet(live)
+            df = self._copies_of_partitions(name) if _by_copies(name) else self.spark.read.schema(_stored(name)).parquet(live)
         if since is None:
             return df
         day, expression = _day_partition(name)
@@ -102,6 +130,14 @@ class Store:
         # A catalog derives its hidden day partition from a filter on the time itself.
         return df.filter((F.expr(expression) if self.catalog else F.col(day)) >= start)
 
+    def _copies_of_partitions(self, name: str) -> DataFrame:
+        folder, listed = self._folder(name), self.partitions(name)
+        if not listed:
+            return self.spark.createDataFrame([], _stored(name))
+        stored = _stored(name).add(COPY, "string")
+        reader = self.spark.read.schema(stored).option("basePath", folder)
+        return reader.parquet(*[f"{folder}/{copy}" for copy in listed]).drop(COPY)
+
     def read_stream(self, name: str, max_files: int | None = None) -> DataFrame:
         """New rows of a log table as a stream; ``max_files`` bounds what one batch takes of a backlog."""
         if self.catalog:
@@ -115,14 +151,20 @@ class Store:
         return reader.parquet(live)
 
     def write(
-        self, df: DataFrame, name: str, mode: str = "append", batch_id: int | None = None
+        self,
+        df: DataFrame,
+        name: str,
+        mode: str = "append",
+        batch_id: int | None = None,
+        run: str | None = None,
     ) -> int:
         """SNK-1, A-11: write and return the number of rows, counted on the way.
 
         ``append`` adds rows; ``overwrite`` replaces the partitions present in ``df`` (the whole
         table when it has none); ``replace`` swaps in a new copy of the whole table. Log tables
         take a ``batch_id``, as argument or column: writing the same batch again replaces it, so
-        a replayed micro-batch adds nothing.
+        a replayed micro-batch adds nothing. An append to a partitioned table may name its ``run``
+        (letters and digits): appending under the same name again replaces what that run added.
         """
         if mode not in ("append", "overwrite", "replace"):
             raise ValueError(f"unknown write mode {mode!r}")
@@ -145,7 +187,7 @@ class Store:
         if self.catalog:
             self._write_catalog(rows, name, mode)
         else:
-            self._write_folder(rows, name, mode, partitions)
+            self._write_folder(rows, name, mode, partitions, run)
         return written.get["rows"]
 
     def _write_catalog(self, rows: DataFrame, name: str, mode: str) -> None:
@@ -157,17 +199,45 @@ class Store:
         else:
             target.overwrite(F.lit(True))
 
-    def _write_folder(self, rows: DataFrame, name: str, mode: str, partitions: list[str]) -> None:
-        writer = rows.write.partitionBy(*partitions)
+    def _write_folder(
+        self, rows: DataFrame, name: str, mode: str, partitions: list[str], run: str | None
+    ) -> None:
         live = self._live(name)
-        if mode == "replace" or live is None or (mode == "overwrite" and not partitions):
+        if _by_copies(name):
+            self._write_copies(rows, name, mode, partitions, run)
+        elif mode == "replace" or live is None or (mode == "overwrite" and not partitions):
             version = f"v-{uuid.uuid4().hex}"
-            writer.parquet(f"{self._folder(name)}/{version}")
+            rows.write.partitionBy(*partitions).parquet(f"{self._folder(name)}/{version}")
             self._publish(name, version)
         elif mode == "overwrite":
-            writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(live)
+            rows.write.partitionBy(*partitions).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(live)
         else:
-            writer.mode("append").parquet(live)
+            rows.write.partitionBy(*partitions).mode("append").parquet(live)
+
+    def _write_copies(
+        self, rows: DataFrame, name: str, mode: str, partitions: list[str], run: str | None
+    ) -> None:
+        """New copies of the partitions in ``rows``, then a list with them and the live ones that stay."""
+        prefix = f"{run}." if run else ""
+        copy = f"{COPY}={prefix}{uuid.uuid4().hex}"
+        folder = self._folder(name)
+        rows = rows.withColumn(COPY, F.lit(copy.removeprefix(f"{COPY}=")))
+        rows.write.mode("append").partitionBy(*partitions, COPY).parquet(folder)
+        fs, found = self._file_system("/".join([folder, *["*"] * len(partitions), copy]))
+        depth = len(partitions) + 1
+        paths = [status.getPath().toString().split("/") for status in fs.globStatus(found) or []]
+        fresh = ["/".join(path[-depth:]) for path in paths]
+        replaced = {path.rpartition("/")[0] for path in fresh}
+        stay = [] if mode == "replace" else self.partitions(name)
+        if mode == "overwrite":
+            stay = [path for path in stay if path.rpartition("/")[0] not in replaced]
+        elif run:
+            stay = [path for path in stay if not path.rpartition("/")[2].startswith(f"{COPY}={prefix}")]
+        self._publish(name, f"v-{uuid.uuid4().hex}", [*stay, *fresh])
+
+
+def _by_copies(name: str) -> bool:
+    return bool(TABLES[name].partition_by) and not TABLES[name].log
 
 
 def _day_partition(name: str) -> tuple[str, str]:
@@ -194,7 +264,7 @@ def iceberg_ddl(full_name: str, name: str) -> str:
             parts.append(f"days({source})")
         elif expression.startswith("date_format"):
             parts.append(f"months({source})")
-        else:
+        elif "hash(" not in expression:  # a catalog's own buckets hash otherwise; such tables are replaced whole
             parts.append(expression)
     ddl = table.ddl
     if table.log:

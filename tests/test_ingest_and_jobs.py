@@ -4,17 +4,19 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.operators import changes
+from millrace.operators import changes, dashboard
 from millrace.plans import jobs
 from millrace.sources import relational
 from millrace.sources.files import read_geo
 from millrace.streaming import changes as change_streams
+from millrace.streaming import sales
 from millrace.streaming.pageviews import ingest_pageviews
 from millrace.tables import Store, iceberg_ddl
 
@@ -178,7 +180,7 @@ def test_purchase_stream_and_compaction(spark, store, tmp_path):
     )
     live = change_streams.newest_purchases(store).collect()
     assert {r.id: (r.quantity, r.deleted) for r in live} == newest() == {1: (4, False), 2: (1, False), 3: (8, False)}
-    assert change_streams.keep_newest(store) == 3
+    assert change_streams.keep_newest(store) == 1
     assert change_streams.keep_newest(store) == 0
     (error,) = store.read("rt.purchases_errors").collect()
     assert (error._error, error._raw_message) == ("decode error", "broken")
@@ -188,24 +190,150 @@ def files_below(folder):
     return [p for p in folder.rglob("*.parquet") if "/_" not in str(p)]
 
 
-def test_folding_joins_files_and_copies_do_not_pile_up(spark, store, tmp_path):
-    rows = spark.range(400).selectExpr(
-        "id", "1L AS user_id", "1L AS item_id", "'' AS campaign_id", "1 AS status", "1 AS quantity",
-        "1.0 AS purchase_price", "false AS deleted", "timestamp_seconds(id) AS created_at",
+def many_purchases(spark, ids, **more):
+    rows = ids.selectExpr(
+        "id", "1L AS user_id", "id % 7 AS item_id", "'' AS campaign_id", "1 AS status", "1 AS quantity",
+        "1.0 AS purchase_price", "false AS deleted", "timestamp_seconds(id * 97) AS created_at",
         "timestamp_seconds(id) AS updated_at", "id AS log_position", "current_timestamp() AS ingested_at",
     )
+    return rows.withColumns({name: F.expr(text) for name, text in more.items()})
+
+
+def test_folding_joins_files_and_copies_do_not_pile_up(spark, store, tmp_path):
+    rows = many_purchases(spark, spark.range(400))
     for n in range(4):
         store.write(rows.filter(F.col("id") % 4 == n).repartition(6), "rt.purchases", batch_id=n)
         change_streams.keep_newest(store)
     assert store.read("rt.purchases_newest").count() == 400
     folder = tmp_path / "store" / "rt" / "purchases_newest"
-    assert len([p for p in folder.iterdir() if p.is_dir()]) == 2  # the live copy and the one before
-    live = sorted(p.name for p in folder.glob("_live-*"))[-1].split("-", 2)[2]
-    assert len(files_below(folder / live)) == 1
-    before = sorted(p.name for p in folder.iterdir())
-    for _ in range(5):
+    live = store.partitions("rt.purchases_newest")
+    assert len(live) == len({p.rpartition("/")[0] for p in live}) <= schemas.BUCKETS
+    assert all(len(files_below(folder / p)) == 1 for p in live)
+    assert len(list(folder.glob("bucket=*/copy=*"))) <= 2 * len(live)  # the live copies and those before
+    assert len(list(folder.glob("_live-*"))) == 2
+    for _ in range(3):
         store.write(store.read("rt.purchases_newest"), "rt.purchases_newest", mode="replace")
-    assert len(list(folder.iterdir())) == len(before)
+    assert len(list(folder.glob("bucket=*/copy=*"))) == 2 * len(live)
+
+
+def test_a_fold_leaves_other_buckets_alone(spark, store):
+    store.write(many_purchases(spark, spark.range(400)), "rt.purchases", batch_id=0)
+    assert change_streams.keep_newest(store) == 400
+    before = set(store.partitions("rt.purchases_newest"))
+    ids = spark.createDataFrame([(5,), (6,), (1000,)], "id long")
+    later = many_purchases(spark, ids, quantity="9", updated_at="timestamp_seconds(9000)")
+    store.write(later, "rt.purchases", batch_id=1)
+    assert change_streams.keep_newest(store) == 3
+    after = set(store.partitions("rt.purchases_newest"))
+    buckets = {r.b for r in ids.select(F.expr(schemas.bucket_of("id")).alias("b")).collect()}
+    assert {p.split("/")[0] for p in after - before} == {f"bucket={b}" for b in buckets}
+    assert len(after & before) == len(before) - len(buckets)
+    kept = {r.id: r.quantity for r in store.read("rt.purchases_newest").collect()}
+    assert kept == {**dict.fromkeys(range(400), 1), 5: 9, 6: 9, 1000: 9}
+    old = many_purchases(spark, ids, quantity="7", updated_at="timestamp_seconds(-5)")
+    store.write(old, "rt.purchases", batch_id=2)  # older versions that come late change nothing
+    change_streams.keep_newest(store)
+    assert {r.id: r.quantity for r in store.read("rt.purchases_newest").collect()} == kept
+
+
+def dashboards(store, newest):
+    """From the kept sums, and by reducing all versions."""
+    as_of = "1970-01-01 11:17:00"
+    kept = sales.hourly_sales(store, as_of, newest), sales.top_products(store), sales.kpis(store)
+    plain = dashboard.hourly_sales(newest, as_of), dashboard.top_products(newest), dashboard.kpis(newest)
+    return [[tuple(r) for r in df.collect()] for df in kept], [[tuple(r) for r in df.collect()] for df in plain]
+
+
+def test_sales_follow_every_change(spark, store):
+    rng = random.Random(3)
+    for batch in range(5):
+        rows = [
+            (rng.randrange(60), rng.randrange(4), rng.randrange(5), rng.random() < 0.3, rng.randrange(90_000), rng.randrange(6))
+            for _ in range(40)
+        ]
+        frame = spark.createDataFrame(rows, "id long, item long, n int, gone boolean, made long, changed long")
+        changed = frame.selectExpr(
+            "id", "1L AS user_id", "item AS item_id", "'' AS campaign_id", "1 AS status", "n AS quantity",
+            "2.5 AS purchase_price", "gone AS deleted", "timestamp_seconds(made) AS created_at",
+            "timestamp_seconds(changed) AS updated_at", "id * 10 + n AS log_position", "current_timestamp() AS ingested_at",
+        )
+        store.write(changed, "rt.purchases", batch_id=batch)
+        change_streams.keep_newest(store)
+        if batch in (1, 3):
+            assert sales.fold_sales(store) > 0
+            assert sales.fold_sales(store) == 0
+        kept, plain = dashboards(store, store.read("rt.purchases_newest"))
+        assert kept == plain
+    for asked in (sales.kpis(store), sales.top_products(store), sales.hourly_sales(store, "1970-01-01 11:00:00")):
+        files = asked.inputFiles()  # no purchase is read again
+        assert files and all("/rt/sales_sums/" in f or "/rt/sales_changes/" in f for f in files)
+
+
+def test_a_fold_that_died_counts_once(spark, store, monkeypatch):
+    store.write(many_purchases(spark, spark.range(50)), "rt.purchases", batch_id=0)
+    change_streams.keep_newest(store)
+    store.write(many_purchases(spark, spark.range(10), quantity="5"), "rt.purchases", batch_id=1)
+    write = type(store).write
+
+    def dies(self, df, name, *args, **more):
+        if name == dies.at:
+            raise OSError("lost")
+        return write(self, df, name, *args, **more)
+
+    for at in ("rt.purchases_newest", "rt.sales_position"):
+        dies.at = at
+        with monkeypatch.context() as patched, pytest.raises(OSError):
+            patched.setattr(type(store), "write", dies)
+            change_streams.keep_newest(store)
+        assert sales.kpis(store).first().total_items_sold == 50  # as of the last whole fold
+        if at == "rt.purchases_newest":
+            store.write(many_purchases(spark, spark.range(20, 25), quantity="3"), "rt.purchases", batch_id=2)
+    for _ in range(3):
+        change_streams.keep_newest(store)
+        kept, plain = dashboards(store, store.read("rt.purchases_newest"))
+        assert kept == plain
+    assert sales.kpis(store).first().total_items_sold == 35 + 10 * 5 + 5 * 3
+
+
+def test_a_job_that_dies_leaves_no_part_of_its_partitions(spark, store, tmp_path):
+    first = items(spark, [(1, "toys", "1.00", T), (2, "books", "1.00", T)])
+    store.write(first, "silver.items")
+    reading = store.read("silver.items")
+    failing = items(spark, [(3, "toys", "1.00", T), (4, "new", "1.00", T)]).withColumn(
+        "name", F.when(F.col("id") == 4, F.raise_error(F.lit("lost"))).otherwise(F.col("name"))
+    )
+    for mode in ("append", "overwrite", "replace"):
+        with pytest.raises(Exception, match="lost"):
+            store.write(failing.repartition(2, "id"), "silver.items", mode)
+        assert {r.id for r in store.read("silver.items").collect()} == {1, 2}
+    store.write(items(spark, [(3, "toys", "1.00", T)]), "silver.items", "overwrite")
+    assert {r.id for r in reading.collect()} == {1, 2}  # a reader that began before
+    assert {r.id for r in store.read("silver.items").collect()} == {2, 3}
+    odd = [(5, None, "1.00", T), (6, "", "1.00", T), (7, "a b/c=%2F*[x]{y}", "1.00", T)]
+    store.write(items(spark, odd), "silver.items")
+    assert {(r.id, r.category) for r in store.read("silver.items").collect()} == {
+        (2, "books"), (3, "toys"), *((i, c) for i, c, _, _ in odd)
+    }
+
+
+def test_a_load_that_died_before_its_cursor_is_not_doubled(spark, store, tmp_path, monkeypatch):
+    rows = [(1, "toys", "1.00", T), (2, "books", "1.00", T)]
+    source = source_tables(spark, str(tmp_path / "src"), rows)
+    write = type(store).write
+
+    def dies(self, df, name, *args, **more):
+        if name == "bronze.load_cursors":
+            raise OSError("lost")
+        return write(self, df, name, *args, **more)
+
+    with monkeypatch.context() as patched, pytest.raises(jobs.StepsFailed):
+        patched.setattr(type(store), "write", dies)
+        jobs.load_tables(store, source, ["items"])
+    source_tables(spark, str(tmp_path / "src"), [*rows, (3, "toys", "1.00", T + dt.timedelta(hours=1))])
+    jobs.load_tables(store, source, ["items"])
+    assert sorted(r.id for r in store.read("bronze.items").collect()) == [1, 2, 3]
+    assert jobs.load_tables(store, source, ["items"]) == {"items": 0}
+    assert sorted(r.id for r in store.read("bronze.items").collect()) == [1, 2, 3]
 
 
 def test_a_reader_sees_one_whole_copy_during_a_switch(spark, store):

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from millrace import schemas
 from millrace.functions.encoders import DIMENSIONS, hashing_encoder
 from millrace.operators import vectors
 from millrace.plans import jobs
@@ -98,7 +99,12 @@ def test_embedding_job(spark, tmp_path):
 
     more = reviews(spark).limit(1).selectExpr("9 AS review_id", "* EXCEPT (review_id)")
     store.write(more, "rt.reviews")
+    before = set(store.partitions("rt.reviews"))
     assert jobs.embed_reviews(store, hashing_encoder) == 1
+    after = set(store.partitions("rt.reviews"))
+    (bucket,) = spark.sql(f"SELECT {schemas.bucket_of('9L')}").first()
+    assert {p.split("/")[0] for p in before ^ after} == {f"bucket={bucket}"}  # other buckets keep their files
+    assert {r.review_id: r.review_embedding for r in store.read("rt.reviews").filter("review_id <> 9").collect()} == got
 
 
 def test_similar_texts_are_near(spark):
