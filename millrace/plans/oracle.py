@@ -256,6 +256,14 @@ STATEMENTS = {
           CAST(purchase_date AS VARCHAR) AS purchase_date, purchase_hour, created_at, updated_at
         FROM enriched""",
     "silver_pageviews_by_items": "SELECT * FROM item_views",
+    "silver_refreshed_pageviews": "SELECT * FROM item_views",
+    "silver_refreshed_purchases": """
+        SELECT p.id, p.user_id, p.item_id, p.quantity, CAST(p.purchase_price AS DOUBLE) AS purchase_price,
+          CAST(CAST(p.quantity * p.purchase_price AS DECIMAL(14,2)) AS DOUBLE) AS total_price, u.email AS user_email,
+          i.name AS item_name, i.category AS item_category,
+          CAST(CAST(p.created_at AS DATE) AS VARCHAR) AS purchase_date,
+          CAST(hour(p.created_at) AS INT) AS purchase_hour, p.created_at, p.updated_at
+        FROM purchase_events p LEFT JOIN users u ON p.user_id = u.id LEFT JOIN items i ON p.item_id = i.id""",
     "top_selling_items": _SELLING,
     "top_selling_items_top10": f"""
         SELECT * FROM ({_SELLING})

@@ -318,6 +318,36 @@ def incremental_ingest(spark, folder):
     return each[0].unionAll(each[1]).unionAll(each[2])
 
 
+def _refreshed(spark: SparkSession, folder: str) -> Store:
+    """Silver made from early purchases and most items, then refreshed for later days and the other items."""
+    store = Store(spark, scratch_dir(spark, "refresh"))
+    split = F.lit(SPLIT_AT).cast("timestamp")
+    users, items, bought = shop.users(spark, folder), shop.items(spark, folder), shop.purchase_events(spark, folder)
+    views = shop.pageviews(spark, folder).withColumns(
+        {"received_at": times.from_epoch_seconds(F.col("received_at")), "source_file": F.lit("")}
+    )
+    late_item, late, late_view = F.col("id") % 10 == 0, F.col("created_at") >= split, F.col("received_at") >= split
+
+    def add(rows: DataFrame, name: str, batch_id: int | None = None) -> None:
+        store.write(rows.withColumn("ingested_at", F.current_timestamp()), name, batch_id=batch_id)
+
+    add(users, "bronze.users")
+    for n, (item, purchase, view) in enumerate(((~late_item, ~late, ~late_view), (late_item, late, late_view))):
+        add(items.filter(item), "bronze.items")
+        add(bought.filter(purchase), "bronze.purchases")
+        add(views.filter(view), "bronze.pageviews", n)
+        jobs.refresh_silver(store)
+    return store
+
+
+def silver_refreshed_purchases(spark, folder):
+    return _refreshed(spark, folder).read("silver.purchases_enriched").drop("created_day")
+
+
+def silver_refreshed_pageviews(spark, folder):
+    return _refreshed(spark, folder).read("silver.pageviews_by_items").drop("received_day")
+
+
 def rejected_rows(spark, folder):
     rows = _loaded(spark, folder).read("bronze.rejected_rows")
     return rows.select("table_name", F.get_json_object("raw_record", "$.id").cast("bigint").alias("id"))
@@ -582,6 +612,8 @@ ALL: dict[str, Query] = {
     "segments_job": segments_job,
     "full_run_gold": full_run_gold,
     "rejected_rows": rejected_rows,
+    "silver_refreshed_purchases": silver_refreshed_purchases,
+    "silver_refreshed_pageviews": silver_refreshed_pageviews,
     "pageviews_ingest_stream": pageviews_ingest_stream,
     "pageviews_dlq": pageviews_dlq,
     "pageviews_source_files": pageviews_source_files,

@@ -136,6 +136,14 @@ TABLES: dict[str, Table] = {
     "silver.quality_report": Table(
         "table_name STRING, rule STRING, failed BIGINT, total BIGINT"
     ),
+    # What a refresh of silver has used: partition copies of bronze tables, batches of the pageviews.
+    "silver.built_from": Table("table_name STRING, part STRING"),
+    # The ids that occur in a day of a bronze table, as bitmaps.
+    "silver.day_keys": Table(
+        "fact STRING, day DATE, key STRING, bucket BIGINT, held BINARY",
+        ("fact_day",),
+        {"fact_day": "concat_ws(' ', fact, day)"},
+    ),
     "gold.top_selling_items": Table(
         "item_id BIGINT, item_name STRING, item_category STRING, total_revenue DECIMAL(24,2)"
     ),

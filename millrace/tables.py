@@ -122,7 +122,7 @@ class Store:
             live = self._live(name)
             if live is None:
                 raise FileNotFoundError(f"table {name} does not exist below {self.root}")
-            df = self._copies_of_partitions(name) if _by_copies(name) else self.spark.read.schema(_stored(name)).parquet(live)
+            df = self.read_partitions(name, self.partitions(name)) if _by_copies(name) else self.spark.read.schema(_stored(name)).parquet(live)
         if since is None:
             return df
         day, expression = _day_partition(name)
@@ -130,8 +130,9 @@ class Store:
         # A catalog derives its hidden day partition from a filter on the time itself.
         return df.filter((F.expr(expression) if self.catalog else F.col(day)) >= start)
 
-    def _copies_of_partitions(self, name: str) -> DataFrame:
-        folder, listed = self._folder(name), self.partitions(name)
+    def read_partitions(self, name: str, listed: Sequence[str]) -> DataFrame:
+        """The rows of some partition copies."""
+        folder = self._folder(name)
         if not listed:
             return self.spark.createDataFrame([], _stored(name))
         stored = _stored(name).add(COPY, "string")
@@ -264,7 +265,7 @@ def iceberg_ddl(full_name: str, name: str) -> str:
             parts.append(f"days({source})")
         elif expression.startswith("date_format"):
             parts.append(f"months({source})")
-        elif "hash(" not in expression:  # a catalog's own buckets hash otherwise; such tables are replaced whole
+        elif "(" not in expression:  # a catalog's own buckets hash otherwise; such tables are replaced whole
             parts.append(expression)
     ddl = table.ddl
     if table.log:

@@ -295,6 +295,52 @@ def test_a_fold_that_died_counts_once(spark, store, monkeypatch):
     assert sales.kpis(store).first().total_items_sold == 35 + 10 * 5 + 5 * 3
 
 
+def test_a_refresh_rebuilds_only_touched_days(spark, store):
+    def bought(rows):
+        return spark.createDataFrame(
+            [(i, 1, item, 2, Decimal("1.50"), T + dt.timedelta(days=day), T) for i, item, day in rows],
+            "id long, user_id long, item_id long, quantity int, purchase_price decimal(12,2), "
+            "created_at timestamp, updated_at timestamp",
+        )
+
+    def viewed(rows):
+        return spark.createDataFrame(
+            [(1, f"/products/{item}", "social", T + dt.timedelta(days=day), "f") for item, day in rows],
+            "user_id long, url string, channel string, received_at timestamp, source_file string",
+        )
+
+    def put(frame, name, batch_id=None):
+        store.write(frame.withColumn("ingested_at", F.current_timestamp()), name, batch_id=batch_id)
+
+    def changed(name, before):
+        return {p.split("/")[0].partition("=")[2] for p in set(store.partitions(name)) ^ set(before)}
+
+    facts = ("silver.purchases_enriched", "silver.pageviews_by_items")
+    user = spark.createDataFrame(
+        [(1, "a", "b", "e@x.io", T, T)],
+        "id long, first_name string, last_name string, email string, created_at timestamp, updated_at timestamp",
+    )
+    put(user, "bronze.users")
+    put(items(spark, [(70_000, "toys", "1.00", T), (2, "toys", "1.00", T)]), "bronze.items")
+    put(bought([(1, 2, 0), (2, 70_000, 1), (3, 5, 2), (4, -3, 3)]), "bronze.purchases")
+    put(viewed([(2, 0), (5, 1)]), "bronze.pageviews", 0)
+    assert jobs.refresh_silver(store) == {"users": 1, "items": 2, "purchases": 4, "pageviews": 2}
+    before = [store.partitions(name) for name in facts]
+    assert jobs.refresh_silver(store) == {}
+    put(items(spark, [(5, "books", "2.00", T), (-3, "odd", "2.00", T)]), "bronze.items")  # bought before they came
+    put(bought([(5, 2, 1)]), "bronze.purchases")
+    assert jobs.refresh_silver(store) == {"items": 4, "purchases": 4, "pageviews": 1}
+    days = [changed(n, b) for n, b in zip(facts, before)]
+    assert days == [{"2024-01-06", "2024-01-07", "2024-01-08"}, {"2024-01-06"}]  # the others keep their files
+    rows = {(r.id, r.item_category) for r in store.read(facts[0]).collect()}
+    assert rows == {(1, "toys"), (2, "toys"), (3, "books"), (4, "odd"), (5, "toys")}
+    put(viewed([(9, 5)]), "bronze.pageviews", 1)
+    before = [store.partitions(name) for name in facts]
+    put(user, "bronze.users")  # another version of the user, in the same day
+    assert jobs.refresh_silver(store) == {"users": 2, "purchases": 10, "pageviews": 1}
+    assert changed(facts[1], before[1]) == {"2024-01-10"}
+
+
 def test_a_job_that_dies_leaves_no_part_of_its_partitions(spark, store, tmp_path):
     first = items(spark, [(1, "toys", "1.00", T), (2, "books", "1.00", T)])
     store.write(first, "silver.items")
