@@ -41,8 +41,7 @@ def purchases_enriched(
 
     Only the looked-up columns of both dimensions travel. Whether a dimension is broadcast is
     decided by its measured size; otherwise a hot user or item is split by the adaptive skew
-    join, which works here because each join has its own shuffle and nothing above it asks for
-    a particular partitioning.
+    join, which ``session.prepare`` allows also where what follows then shuffles again.
     """
     buyers = bronze_users.select(F.col("id").alias("_user"), F.col("email").alias("user_email"))
     goods = bronze_items.select(

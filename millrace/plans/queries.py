@@ -167,11 +167,21 @@ def _kept_purchases(spark: SparkSession, folder: str) -> Store:
     return store
 
 
+_SALES_STORES: dict[tuple[str, str], str] = {}  # (application, folder of the given tables): root of the store
+
+
 def _kept_sales(spark: SparkSession, folder: str) -> Store:
-    """Both versions folded; the sums hold the first fold, the second is in the changes after them."""
+    """Both versions folded; the sums hold the first fold, the second is in the changes after them. Made once in an
+    application and then only asked, as dashboards do."""
+    key = spark.sparkContext.applicationId, folder
+    if key in _SALES_STORES:
+        store = Store(spark, _SALES_STORES[key])
+        if sales.position(store) is not None:
+            return store
     store = _kept_purchases(spark, folder)
     sales.fold_sales(store)
     change_streams.keep_newest(store)
+    _SALES_STORES[key] = store.root
     return store
 
 
@@ -195,9 +205,7 @@ def hourly_sales_within_hour(spark, folder):
 
 def purchases_kept_newest(spark, folder):
     """The kept table after the second fold."""
-    store = _kept_purchases(spark, folder)
-    change_streams.keep_newest(store)
-    return store.read("rt.purchases_newest").drop("bucket", "log_position", "last_batch")
+    return _kept_sales(spark, folder).read("rt.purchases_newest").drop("bucket", "log_position", "last_batch")
 
 
 def purchases_equal_times(spark, folder):

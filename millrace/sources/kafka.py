@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 def read_topic(
     spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None
 ) -> DataFrame:
-    """Stream of (key, value, topic, timestamp) from the earliest offset; value is binary."""
+    """Stream of (key, value, topic, partition, offset, timestamp) from the earliest offset; value is binary."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -17,12 +17,14 @@ def read_topic(
     )
     if max_offsets is not None:
         reader = reader.option("maxOffsetsPerTrigger", max_offsets)
-    return reader.load().select("key", "value", "topic", "timestamp")
+    return reader.load().select("key", "value", "topic", "partition", "offset", "timestamp")
 
 
 def text_values(messages: DataFrame) -> DataFrame:
-    """JSON topics: ``value`` as text, ready for ``decode_changes``."""
-    return messages.select(F.col("value").cast("string").alias("value"))
+    """JSON topics: ``value`` as text, ready for ``decode_changes``. The topic, which routes item changes, and the
+    offset, which orders the versions of a key (always in one partition), come along where they are known."""
+    known = [c for c in ("topic", "offset") if c in messages.columns]
+    return messages.select(F.col("value").cast("string").alias("value"), *known)
 
 
 def avro_row(value: Column, avro_schema: str) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.operators import changes, quality
 from millrace.operators.latest import latest_by_key
+from millrace.sources import kafka
 
 
 def test_newest_version_with_a_hot_key(spark):
@@ -172,3 +173,19 @@ def test_quality_report(spark):
     assert got == [("t", "id", 1, 3), ("t", "positive", 2, 3)]
     empty = quality.quality_report(df.limit(0), "t", rules).collect()
     assert {(r.failed, r.total) for r in empty} == {(0, 0)}
+
+
+def test_offsets_and_topics_of_a_topic_are_kept(spark):
+    """The later offset wins among equal times, whatever order the rows are read in; the topic still routes."""
+    rows = [
+        (f'{{"id": 1, "quantity": {n}, "updated_at": 5}}'.encode(), topic, n)
+        for n, topic in ((7, "dbz.public.purchases"), (9, "dbz.public.purchases"), (8, "dbz.public.purchases"))
+    ]
+    messages = spark.createDataFrame([*rows, (None, "dbz.public.purchases", 10)], "value binary, topic string, offset long")
+    values = kafka.text_values(messages.withColumn("key", F.lit(b"k")))
+    assert values.columns == ["value", "topic", "offset"]
+    decoded = changes.decode_changes(values.repartition(3))
+    (row,) = changes.latest_purchases(changes.valid_purchases(decoded)).collect()
+    assert row.quantity == 9
+    assert {r[0] for r in values.select(changes.destination_of(F.col("topic"))).collect()} == {"purchases"}
+    assert kafka.text_values(messages.select("value")).columns == ["value"]
