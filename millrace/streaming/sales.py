@@ -61,12 +61,18 @@ def _open_changes(store: Store) -> DataFrame:
     return rows if summed is None else rows.filter(F.col("batch_id") > summed)
 
 
-def sales(store: Store) -> DataFrame:
+def sales(store: Store, since: dt.datetime | None = None) -> DataFrame:
     """(hour, item_id, quantity, revenue, purchases) of the newest versions as of the last fold. Hours and items
-    whose purchases were all taken back stay, with zeros."""
+    whose purchases were all taken back stay, with zeros. ``since`` leaves out earlier hours, and the sums' months
+    before it are not read."""
     rows = _open_changes(store).select(*KEYS, *VALUES)
     if store.exists(SUMS):
-        rows = rows.unionByName(store.read(SUMS).select(*KEYS, *VALUES))
+        sums = store.read(SUMS)
+        if since is not None and not store.catalog:
+            sums = sums.filter(F.col("hour_month") >= f"{since:%Y%m}")
+        rows = rows.unionByName(sums.select(*KEYS, *VALUES))
+    if since is not None:
+        rows = rows.filter(F.col("hour") >= F.lit(str(since)).cast("timestamp"))
     return _summed(rows, *KEYS)
 
 
@@ -97,7 +103,7 @@ def hourly_sales(store: Store, as_of: str, newest: DataFrame | None = None) -> D
     if whole < since:
         whole += dt.timedelta(hours=1)
     start = F.lit(str(whole)).cast("timestamp")
-    rows = _live(_summed(sales(store).filter(F.col("hour") >= start), "hour"))
+    rows = _live(_summed(sales(store, whole), "hour"))
     rows = rows.select("hour", F.col("quantity").alias("total_sales"), F.col("revenue").alias("total_revenue"))
     if whole > since:
         if newest is None:

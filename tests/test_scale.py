@@ -136,9 +136,9 @@ def test_a_hot_item_is_split_below_an_item_aggregate(spark, tmp_path):
         assert "skew=true" in run(gold.top_selling_items(silver.purchases_enriched(rows, users, items)))
 
 
-def test_the_newest_24_hours_prune_the_kept_table(spark):
+def test_the_newest_24_hours_prune_the_kept_sums(spark):
     plan = planned(QUERIES["hourly_sales_24h"](spark, FOLDER))
-    assert "PartitionFilters: [isnotnull(created_month" in plan
+    assert "PartitionFilters: [isnotnull(hour_month" in plan
 
 
 def test_anomaly_windows_are_bounded_in_time(spark):
