@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.functions import times
@@ -10,6 +12,7 @@ from millrace.streaming.run import run_stream, shared_scan
 from millrace.tables import Store
 
 DELAY = "5 seconds"  # fixed value: how late an event may arrive
+SPAN = "1 minute"  # width of the cells of the joined form, which fires that much later
 
 
 def ingest_logins(store: Store, logins: DataFrame, geo: DataFrame, checkpoint: str) -> None:
@@ -100,6 +103,75 @@ def write_anomalies(
     run_stream(login_cells(enriched), known, f"{checkpoint}/cells", state_partitions)
 
 
+def login_spans(enriched: DataFrame, span: str = SPAN, delay: str = DELAY) -> DataFrame:
+    """Per user, country and span of time, once the watermark has passed it: first and last instant, and the
+    opening instants, less than a second after the first. Combined map-side, so rows are bounded by time."""
+    us = F.unix_micros("timestamp")
+    opening = F.filter("instants", lambda at: at < F.col("first_us") + rules.MIN_GAP)
+    return (
+        enriched.filter("country IS NOT NULL AND user_id IS NOT NULL")
+        .withWatermark("timestamp", delay)
+        .groupBy("user_id", "country", F.window("timestamp", span).alias("span"))
+        .agg(F.min(us).alias("first_us"), F.max(us).alias("last_us"), F.collect_set(us).alias("instants"))
+        .select("user_id", "country", F.window_time("span").alias("closed"), "first_us", "last_us", opening.alias("opening"))
+    )
+
+
+def joined_anomalies(
+    logins: DataFrame, earlier: DataFrame, span: str = SPAN, delay: str = DELAY
+) -> DataFrame:
+    """J-6, W-2 as a left outer join of two streams, both the login log, within the seven days before a login.
+
+    Both sides shrink to spans first. Only a span's opening instants can fire, as later ones have the first
+    before them; of an earlier span the first and last instant tell whether a login lies in reach. So an instant
+    meets at most the 10,080 minutes of seven days, however busy the user. The watermark drops spans of the right
+    side after seven days and one span, and lets a login fire as soon as no earlier span can come.
+    ``span`` is at least a second and at most a day.
+    """
+    if not rules.MIN_GAP <= times.interval_micros(span) <= 86_400 * rules.SECOND:
+        raise ValueError(f"span {span!r} is not between a second and a day")
+    asked = login_spans(logins, span, delay).select(
+        "user_id", "country", F.col("closed").alias("at_closed"), F.explode("opening").alias("at")
+    )
+    seen = login_spans(earlier, span, delay).select(
+        F.col("user_id").alias("seen_user"), F.col("country").alias("seen_country"), "closed", "first_us", "last_us"
+    )
+    within = (
+        (F.col("user_id") == F.col("seen_user"))
+        & (F.col("country") == F.col("seen_country"))
+        & (F.col("closed") < F.col("at_closed"))
+        & (F.col("closed") >= F.col("at_closed") - F.expr(f"INTERVAL 7 DAYS + INTERVAL {span}"))
+        & (F.col("first_us") <= F.col("at") - rules.MIN_GAP)
+        & (F.col("last_us") >= F.col("at") - rules.LOOKBACK)
+    )
+    return (
+        asked.join(seen, within, "left_outer")
+        .filter("seen_user IS NULL")
+        .select("user_id", F.timestamp_micros("at").alias("timestamp"), F.lit(rules.REASON).alias("reason"), "country")
+    )
+
+
+def write_joined_anomalies(
+    store: Store,
+    checkpoint: str,
+    state_partitions: int | None = None,
+    max_files: int | None = None,
+    span: str = SPAN,
+) -> None:
+    """J-6 over the stored login log by Spark's own join state, instead of kept cells (``write_anomalies``). Each
+    store takes one of the two forms."""
+
+    def write(name: str) -> Callable[[DataFrame, int], None]:
+        return lambda batch, n: store.write(batch, name, batch_id=n)
+
+    def log() -> DataFrame:
+        return store.read_stream("rt.login_events_enriched", max_files)
+
+    run_stream(rules.nowhere(log()), write("rt.login_unknown"), f"{checkpoint}/unknown")
+    found = joined_anomalies(log(), log(), span)
+    run_stream(found, write("rt.login_new_country"), f"{checkpoint}/joined", state_partitions)
+
+
 def read_anomalies(store: Store) -> DataFrame:
     """SNK-6: all anomalies written so far, whichever of the two streams found them."""
     columns = ["user_id", "timestamp", "reason", "country"]

@@ -193,6 +193,68 @@ def test_stream_drops_late_logins(spark, tmp_path):
     assert [(u, c) for u, _, c in stored_anomalies(store)] == [("u", "US"), ("u", "UK")]
 
 
+def log_drop(store, number, rows):
+    df = store.spark.createDataFrame(rows, ENRICHED) if isinstance(rows, list) else rows
+    extra = {c: F.lit("x") for c in ("ip", "platform", "device_type", "city")}
+    store.write(df.withColumns(extra), "rt.login_events_enriched", batch_id=number)
+
+
+@pytest.mark.parametrize("span", ["1 minute", "1 second", "7 hours"])
+def test_joined_stream_equals_batch(spark, tmp_path, span):
+    rng = random.Random(11)
+    rows = set()
+    for i in range(240):
+        user = "hot" if i % 3 == 0 else f"u{rng.randint(0, 5)}"
+        country = "UK" if i % 3 == 0 else rng.choice(["UK", "US", None])
+        day = rng.choice([0, 7, 14, 21, 40]) * DAY + rng.randint(-2, 2) * SECOND
+        rows.add((user, at(60 * DAY + day + rng.choice([0, 1000, -1000, rng.randint(0, 4000) * 1000])), country))
+    rows = sorted(rows, key=lambda r: r[1])
+    store = Store(spark, f"{tmp_path}/store")
+    cuts = [0, 80, 160, len(rows)]
+    drops = [rows[a:b] for a, b in zip(cuts, cuts[1:])] + [[("end", at(400 * DAY), "UK")]]
+    for number, drop in enumerate(drops):
+        log_drop(store, number, drop)
+        login_streams.write_joined_anomalies(store, f"{tmp_path}/checkpoint", span=span)
+    late = 5 * SECOND  # what a drop holds behind the watermark of the drops before it would be dropped
+    assert all(b[0][1] > a[-1][1] - dt.timedelta(microseconds=late) for a, b in zip(drops, drops[1:]))
+    assert stored_anomalies(store) == expected_anomalies(rows)
+    login_streams.write_joined_anomalies(store, f"{tmp_path}/checkpoint", span=span)
+    assert stored_anomalies(store) == expected_anomalies(rows)
+
+
+def test_join_state_is_bounded_by_seven_days(spark, tmp_path):
+    """A login an hour of one user for sixty days: the join keeps what seven days hold, not what came."""
+    store = Store(spark, f"{tmp_path}/store")
+    kept = []
+    for number in range(6):
+        log_drop(store, number, [("hot", at((240 * number + h) * 3600 * SECOND), "UK") for h in range(240)])
+        found = login_streams.joined_anomalies(
+            *[store.read_stream("rt.login_events_enriched") for _ in range(2)]
+        )
+        query = (
+            found.writeStream.foreachBatch(lambda batch, n: batch.count())
+            .option("checkpointLocation", f"{tmp_path}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+        states = query.lastProgress["stateOperators"]
+        kept.append(sum(s["numRowsTotal"] for s in states if "Join" in s["operatorName"]))
+    assert 100 < kept[1] and max(kept[1:]) <= 2 * (7 * 24 + 3)
+
+
+def test_joined_hot_user(spark, tmp_path):
+    """A login every 50 milliseconds for an hour, all in one batch."""
+    store = Store(spark, f"{tmp_path}/store")
+    hot = spark.range(72_000).select(
+        F.lit("hot").alias("user_id"), F.timestamp_millis(F.col("id") * 50).alias("timestamp"), F.lit("UK").alias("country")
+    )
+    for number, drop in enumerate((hot, [("end", at(400 * DAY), "UK")])):
+        log_drop(store, number, drop)
+        login_streams.write_joined_anomalies(store, f"{tmp_path}/checkpoint")
+    assert login_streams.read_anomalies(store).count() == 20
+
+
 def test_one_hot_user_in_a_single_backlog(spark, tmp_path):
     """Half an hour of logins every five milliseconds, all in one batch, spread over many cells."""
     store = Store(spark, f"{tmp_path}/store")
