@@ -267,9 +267,15 @@ def watch_logins(
     checkpoints: str,
     state_partitions: int | None = None,
     max_files: int | None = None,
+    joined: bool = False,
+    repeats_within: str | None = None,
 ) -> None:
-    """JOB-6: enrich, then look for anomalies in the enriched log, ``max_files`` of it at a time."""
-    login_streams.ingest_logins(store, logins, geo, f"{checkpoints}/logins")
+    """JOB-6: enrich, then look for anomalies in the enriched log, ``max_files`` of it at a time; ``joined`` does so
+    by Spark's join state instead of kept cells, ``repeats_within`` keeps repeated messages out of the log."""
+    login_streams.ingest_logins(store, logins, geo, f"{checkpoints}/logins", repeats_within, state_partitions)
+    if joined:
+        login_streams.write_joined_anomalies(store, f"{checkpoints}/joined", state_partitions, max_files)
+        return
     login_streams.write_anomalies(
         store,
         store.read_stream("rt.login_events_enriched", max_files),

@@ -315,6 +315,17 @@ STATEMENTS = {
     "logins_enriched": "SELECT * FROM logins_geo",
     "login_anomalies": _ANOMALY,
     "login_anomalies_stream": _ANOMALY,
+    "login_anomalies_joined_stream": _ANOMALY,
+    "login_late_stream": """
+        SELECT user_id, timestamp, ip, platform, device_type, country, city FROM logins_geo late
+        WHERE event_id % 5 = 0 AND country IS NOT NULL
+          AND date_trunc('second', timestamp) + INTERVAL '1' SECOND <= (
+            SELECT max(timestamp) - INTERVAL '5' SECOND FROM logins_geo
+            WHERE event_id % 5 <> 0 AND country IS NOT NULL)
+          AND NOT EXISTS (SELECT 1 FROM logins_geo early WHERE early.event_id % 5 <> 0
+            AND early.user_id = late.user_id AND early.country = late.country
+            AND early.timestamp = late.timestamp)""",
+    "login_log_once_stream": "SELECT DISTINCT user_id, timestamp FROM logins_geo",
     "logins_enriched_many_prefixes": """
         SELECT event_id, user_id, timestamp, ip, platform,
           CASE WHEN lower(device) LIKE '%iphone%' OR lower(device) LIKE '%android%'

@@ -504,26 +504,59 @@ def item_errors_stream(spark, folder):
     return store.read("rt.items_errors").select("_error", "_raw_message").join(F.broadcast(good))
 
 
-def login_anomalies_stream(spark, folder):
-    """All logins as one backlog of files, with a login far later that lets the watermark pass them."""
+def _watched(spark: SparkSession, drops: list[DataFrame], **options) -> Store:
+    """Drops of login files, JOB-6 after each of them."""
     base = scratch_dir(spark, "logins")
     store = Store(spark, f"{base}/store")
+    for rows in drops:
+        rows.write.mode("append").json(f"{base}/in")
+        jobs.watch_logins(
+            store,
+            read_logins(spark, f"{base}/in"),
+            shop.geo(spark),
+            f"{base}/checkpoints",
+            state_partitions=spark.sparkContext.defaultParallelism,
+            **options,
+        )
+    return store
+
+
+def _backlog_anomalies(spark: SparkSession, folder: str, **options) -> DataFrame:
+    """All logins as one backlog of files, with a login far later that lets the watermark pass them."""
     rows = shop.logins(spark, folder)
     closing = rows.limit(1).withColumns(
         {"user_id": F.lit("closing"), "timestamp": F.lit("2999-01-01T00:00:00.000Z")}
     )
-    rows.unionAll(closing).write.json(f"{base}/in")
-    jobs.watch_logins(
-        store,
-        read_logins(spark, f"{base}/in"),
-        shop.geo(spark),
-        f"{base}/checkpoints",
-        state_partitions=spark.sparkContext.defaultParallelism,
-    )
+    store = _watched(spark, [rows.unionAll(closing)], **options)
     found = logins_stream.read_anomalies(store)
     return found.filter(~F.col("user_id").eqNullSafe("closing"))
 
 
+def login_anomalies_stream(spark, folder):
+    return _backlog_anomalies(spark, folder)
+
+
+def login_anomalies_joined_stream(spark, folder):
+    """J-6, W-2 as a join of two streams."""
+    return _backlog_anomalies(spark, folder, joined=True)
+
+
+def login_late_stream(spark, folder):
+    """W-7: a fifth of the logins comes after the watermark has passed nearly all of them."""
+    rows = shop.logins(spark, folder)
+    fifth = F.col("event_id") % 5 == 0
+    late = _watched(spark, [rows.filter(~fifth), rows.filter(fifth)]).read("rt.login_late")
+    return late.drop("event_day", "batch_id")
+
+
+def login_log_once_stream(spark, folder):
+    """SNK-6: every third login is sent twice at once, and every second one again in a later batch."""
+    rows = shop.logins(spark, folder)
+    third, second = rows.filter("event_id % 3 = 0"), rows.filter("event_id % 2 = 0")
+    store = _watched(spark, [rows.unionAll(third), second], joined=True, repeats_within="60 days")
+    return store.read("rt.login_events_enriched").select("user_id", "timestamp")
+
+
 def login_errors_stream(spark, folder):
     """Every hundredth login has a time that cannot be read."""
     base = scratch_dir(spark, "logins")
@@ -630,6 +663,9 @@ ALL: dict[str, Query] = {
     "item_documents_stream": item_documents_stream,
     "item_errors_stream": item_errors_stream,
     "login_anomalies_stream": login_anomalies_stream,
+    "login_anomalies_joined_stream": login_anomalies_joined_stream,
+    "login_late_stream": login_late_stream,
+    "login_log_once_stream": login_log_once_stream,
     "login_errors_stream": login_errors_stream,
     "review_embeddings": review_embeddings,
     "embedding_write_back": embedding_write_back,

@@ -225,6 +225,15 @@ TABLES: dict[str, Table] = {
         "event_day",
         log=True,
     ),
+    # Logins that came after the watermark had closed their second, and the batch of the log up to which they are known.
+    "rt.login_late": _by_day(
+        "user_id STRING, timestamp TIMESTAMP, ip STRING, platform STRING, device_type STRING, "
+        "country STRING, city STRING",
+        "timestamp",
+        "event_day",
+        log=True,
+    ),
+    "rt.login_late_position": Table("batch BIGINT"),
     # The closed seconds that later logins are compared with.
     "rt.login_cells": _by_day(
         "user_id STRING, country STRING, second TIMESTAMP, instants ARRAY<BIGINT>",

@@ -12,22 +12,43 @@ from millrace.streaming.run import run_stream, shared_scan
 from millrace.tables import Store
 
 DELAY = "5 seconds"  # fixed value: how late an event may arrive
+LATE_POSITION = "rt.login_late_position"
 SPAN = "1 minute"  # width of the cells of the joined form, which fires that much later
 
 
-def ingest_logins(store: Store, logins: DataFrame, geo: DataFrame, checkpoint: str) -> None:
+def ingest_logins(
+    store: Store,
+    logins: DataFrame,
+    geo: DataFrame,
+    checkpoint: str,
+    repeats_within: str | None = None,
+    state_partitions: int | None = None,
+) -> None:
     """Enrich every batch and add it to the login log; a login without a readable time goes to the
-    error table, before any watermark."""
+    error table, before any watermark.
+
+    SNK-6: with ``repeats_within``, an interval such as '10 minutes', a message that repeats the user and time of
+    one before it is left out, across batches too, so the log has one row per key. Spark keeps the keys of that
+    interval and drops logins that come later than it. Errors are then read by a stream of their own.
+    """
 
     def good(batch: DataFrame, n: int) -> None:
         rows = rules.enrich_logins(rules.readable(batch), geo)
         store.write(rows, "rt.login_events_enriched", batch_id=n)
 
+    def unread(rows: DataFrame, n: int) -> None:
+        store.write(rows.withColumn("ingested_at", F.current_timestamp()), "rt.login_errors", batch_id=n)
+
     def bad(batch: DataFrame, n: int) -> None:
-        rows = rules.unreadable(batch).withColumn("ingested_at", F.current_timestamp())
-        store.write(rows, "rt.login_errors", batch_id=n)
+        unread(rules.unreadable(batch), n)
 
-    run_stream(logins, shared_scan(good, bad), checkpoint)
+    if repeats_within is None:
+        run_stream(logins, shared_scan(good, bad), checkpoint)
+        return
+    timed = rules.readable(logins).withColumn("_at", times.from_iso(F.col("timestamp")))
+    once = timed.withWatermark("_at", repeats_within).dropDuplicatesWithinWatermark(["user_id", "_at"]).drop("_at")
+    run_stream(once, good, f"{checkpoint}/once", state_partitions)
+    run_stream(rules.unreadable(logins), unread, f"{checkpoint}/errors")
 
 
 def login_cells(enriched: DataFrame, delay: str = DELAY) -> DataFrame:
@@ -100,7 +121,36 @@ def write_anomalies(
         store.write(judge(store, n), "rt.login_new_country", batch_id=n)
 
     run_stream(enriched, unknown, f"{checkpoint}/unknown")
-    run_stream(login_cells(enriched), known, f"{checkpoint}/cells", state_partitions)
+    watermark = run_stream(login_cells(enriched), known, f"{checkpoint}/cells", state_partitions)
+    keep_late(store, watermark)
+
+
+def keep_late(store: Store, watermark: str | None) -> None:
+    """W-7: the logins of known country that the watermark dropped, kept in ``rt.login_late``.
+
+    They are the log's rows of closed seconds that no cell holds, whatever batches Spark made of the log; a login
+    at an instant that a cell does hold was not missed. At the end of a run all that lies in the log has been seen, so
+    the next run judges only later batches of it, against the cells of their days. Late rows keep the batch of
+    their log, so a run that died and comes again adds nothing.
+    """
+    if watermark is None or store.catalog:
+        return
+    judged = store.read(LATE_POSITION).first().batch if store.exists(LATE_POSITION) else -1
+    log = store.read("rt.login_events_enriched").filter(F.col("batch_id") > judged)
+    closed = log.filter("country IS NOT NULL AND user_id IS NOT NULL").filter(
+        F.date_trunc("second", "timestamp") + F.expr("INTERVAL 1 SECOND") <= F.lit(watermark).cast("timestamp")
+    )
+    upto, start = log.agg(F.max("batch_id"), F.min("event_day").cast("string")).first()
+    if upto is None:
+        return
+    if start is not None and store.exists("rt.login_cells"):
+        cells = store.read("rt.login_cells", since=start)
+        held = cells.select("user_id", "country", F.explode("instants").alias("_us"))
+        placed = closed.withColumn("_us", F.unix_micros("timestamp"))
+        closed = placed.join(held, ["user_id", "country", "_us"], "left_anti")
+    store.write(closed, "rt.login_late")
+    position = store.spark.range(1).select(F.lit(upto).alias("batch"))
+    store.write(position, LATE_POSITION, mode="replace")
 
 
 def login_spans(enriched: DataFrame, span: str = SPAN, delay: str = DELAY) -> DataFrame:

@@ -16,8 +16,9 @@ def run_stream(
     write_batch: Callable[[DataFrame, int], None],
     checkpoint: str,
     state_partitions: int | None = None,
-) -> None:
-    """Process everything available now and stop; the checkpoint remembers what was done.
+) -> str | None:
+    """Process everything available now and stop; the checkpoint remembers what was done. Returns the watermark that
+    the last batch went by, as ISO text, None without a watermark or a batch.
 
     ``state_partitions`` sets the number of state partitions of a new checkpoint, which can never
     change afterwards; the session's shuffle partitions by default.
@@ -38,6 +39,8 @@ def run_stream(
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", session_partitions)
     query.awaitTermination()
+    last = query.lastProgress
+    return last["eventTime"].get("watermark") if last else None
 
 
 def shared_scan(

@@ -193,6 +193,36 @@ def test_stream_drops_late_logins(spark, tmp_path):
     assert [(u, c) for u, _, c in stored_anomalies(store)] == [("u", "US"), ("u", "UK")]
 
 
+def test_late_logins_are_kept(spark, tmp_path):
+    first = [("u", at(100 * SECOND), "UK")]
+    late = [("u", at(10 * SECOND), "DE"), ("u", at(98 * SECOND), "US"), ("u", at(0), None), (None, at(0), "DE")]
+    end = [("end", at(9000 * SECOND), "UK"), ("u", at(20 * SECOND), "FR")]
+    store = run_stream_over(spark, str(tmp_path), [first, late, end])
+    kept = [(r.user_id, r.country, r.batch_id) for r in store.read("rt.login_late").collect()]
+    assert sorted(kept) == [("u", "DE", 1), ("u", "FR", 2)]
+    # Judged again, as after a run that died before it kept its place.
+    store.write(spark.range(1).selectExpr("-1 AS batch"), login_streams.LATE_POSITION, mode="replace")
+    login_streams.keep_late(store, str(at(8995 * SECOND)))
+    assert store.read("rt.login_late").count() == 2
+
+
+def test_repeated_messages_reach_the_log_once(spark, tmp_path):
+    from millrace.sources.files import read_logins
+
+    store = Store(spark, f"{tmp_path}/store")
+    geo = spark.createDataFrame(GEO[:1], "ip_prefix string, country string, city string")
+    one = ("u", "2024-01-01T10:00:00.000Z", "192.168.1.4")
+    two = ("u", "2024-01-01T10:00:01.000Z", "192.168.1.4")
+    nobody = (None, "2024-01-01T10:00:00.000Z", "192.168.1.4")
+    for drop in ([one, one, nobody, ("u", "soon", "x")], [two, one, nobody], [two, ("u", "later", "x")]):
+        rows = spark.createDataFrame(drop, "user_id string, timestamp string, ip string")
+        rows.write.mode("append").json(f"{tmp_path}/in")
+        login_streams.ingest_logins(store, read_logins(spark, f"{tmp_path}/in"), geo, f"{tmp_path}/c", "10 minutes", 2)
+    log = store.read("rt.login_events_enriched").collect()
+    assert sorted((str(r.user_id), r.timestamp.second) for r in log) == [("None", 0), ("u", 0), ("u", 1)]
+    assert store.read("rt.login_errors").count() == 2
+
+
 def log_drop(store, number, rows):
     df = store.spark.createDataFrame(rows, ENRICHED) if isinstance(rows, list) else rows
     extra = {c: F.lit("x") for c in ("ip", "platform", "device_type", "city")}
