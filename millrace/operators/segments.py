@@ -9,21 +9,29 @@ HIGH_VIEWS, HIGH_DAYS = 50, 3
 MEDIUM_VIEWS, MEDIUM_VIEWS_MAX, MEDIUM_DAYS = 10, 49, 7
 
 
+def views_by_day(pageviews: DataFrame) -> DataFrame:
+    """The views of each user on each day, combined map-side."""
+    day = F.to_date("received_at").alias("day")
+    return pageviews.groupBy("user_id", day).agg(F.count("page").alias("views"))
+
+
 def user_engagement_segments(users: DataFrame, pageviews: DataFrame, as_of: str) -> DataFrame:
     """J-4, A-5, P-16, P-19 for the day ``as_of`` (yyyy-MM-dd).
 
     Views shrink to one row per (user, day) and then per user before they meet the users, so a
-    user with a third of all views costs one row. Users count once per (id, email, full_name);
-    copies multiply the view count as the row-level join would.
+    user with a third of all views costs one row.
     """
-    per_day = pageviews.groupBy("user_id", F.to_date("received_at").alias("day")).agg(
-        F.count("page").alias("views")
-    )
-    activity = per_day.groupBy("user_id").agg(
+    activity = views_by_day(pageviews).groupBy("user_id").agg(
         F.sum("views").alias("views"),
         F.count("day").alias("active_days"),
         F.max("day").alias("last_active_date"),
     )
+    return segments_of(users, activity, as_of)
+
+
+def segments_of(users: DataFrame, activity: DataFrame, as_of: str) -> DataFrame:
+    """The segments, given (user_id, views, active_days, last_active_date) once per user. Users count once per
+    (id, email, full_name); copies multiply the view count as the row-level join would."""
     people = (
         users.filter("valid_email")
         .groupBy(F.col("id").alias("user_id"), "email", "full_name")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 import logging
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace import schemas
 from millrace.functions import cleaning
 from millrace.functions.encoders import Encoder
-from millrace.operators import changes, day_keys, gold, quality, segments, silver, vectors
+from millrace.operators import activity, changes, day_keys, gold, quality, segments, silver, vectors
 from millrace.operators.latest import latest_by_key
 from millrace.session import scratch_dir
 from millrace.sources.relational import Source, last_cursor, read_incremental
@@ -26,6 +27,7 @@ log = logging.getLogger(__name__)
 
 CURSORS, QUALITY = "bronze.load_cursors", "silver.quality_report"
 BUILT_FROM, DAY_KEYS = "silver.built_from", "silver.day_keys"
+VIEWS, DAY_ACTIVITY, ACTIVITY = "silver.pageviews_by_items", "silver.day_activity", "silver.user_activity"
 RELATIONAL_TABLES = ("users", "items", "purchases")  # fixed value
 
 
@@ -251,11 +253,62 @@ def build_gold(store: Store) -> dict[str, int]:
     return {name: write_logged(store, df, name, "replace") for name, df in results.items()}
 
 
+def refresh_activity(store: Store) -> int:
+    """A-5, J-4: bring the kept activity of users up to date with the pageviews of silver; returns the number of days
+    taken up.
+
+    Only days whose partition copies changed are read, and only their 64-day words rewritten. What a day gave is
+    kept, so a day that comes again, or is gone, is first taken back. The words and the list of days they hold are
+    published as one; a run that dies before that leaves the old list, and the next run does the same days again.
+    One refresh may run at a time.
+    """
+    live: dict[str, list[str]] = {}
+    for part in store.partitions(VIEWS):
+        live.setdefault(part.split("/")[0], []).append(part)
+    kept = store.read(ACTIVITY) if store.exists(ACTIVITY) else store.read_partitions(ACTIVITY, [])
+    listed = kept.filter("part = 'folded' AND folded_from IS NOT NULL").collect()  # a row per day
+    held = {r.folded_day: (r.folded_from, r.version) for r in listed}
+    now = {day: " ".join(sorted(parts)) for day, parts in live.items()}
+    stale = {day for day in {*now, *held} if now.get(day) != held.get(day, (None,))[0]}
+    if not stale and store.exists(ACTIVITY):
+        return 0
+    version = uuid.uuid4().hex
+    named = {folder: _day_of(folder) or "none" for folder in stale}
+    # Other versions of a day come from runs that died.
+    pairs = [(named[d], v) for d in stale for v in {version, held.get(d, (None, version))[1]}]
+    wanted = store.spark.createDataFrame(pairs, "activity_day string, version string")
+
+    def of_days() -> DataFrame:
+        known = store.exists(DAY_ACTIVITY)
+        rows = store.read(DAY_ACTIVITY) if known else store.read_partitions(DAY_ACTIVITY, [])
+        rows = rows.filter(F.col("activity_day").isin([*named.values()]))
+        return rows.join(wanted, ["activity_day", "version"], "left_semi").select("user_id", "day", "views", "version")
+
+    fresh = store.read_partitions(VIEWS, [part for day in stale for part in live.get(day, ())])
+    came = segments.views_by_day(fresh).withColumn("version", F.lit(version))
+    store.write(came.unionByName(of_days()), DAY_ACTIVITY, mode="overwrite")
+
+    sign = F.when(F.col("version") == version, 1).otherwise(-1)
+    words = [activity.word_name(None if d == "none" else d) for d in named.values()]
+    folded = activity.fold_days(kept.filter(F.col("part").isin(words)), of_days().withColumn("sign", sign))
+    state = {day: (now[day], version) if day in stale else held[day] for day in now}
+    # The first row keeps the list a partition of its own even when no day is left.
+    rows = [("", None, version), *((day, *source) for day, source in state.items())]
+    names = store.spark.createDataFrame(rows, "folded_day string, folded_from string, version string")
+    store.write(folded.unionByName(names, allowMissingColumns=True), ACTIVITY, mode="overwrite")
+    return len(stale)
+
+
 def segment_users(store: Store, day: str, folder: str) -> str:
-    """JOB-5: a rerun replaces the day's partition and its export (D-8)."""
-    df = segments.user_engagement_segments(
-        store.read("silver.users"), store.read("silver.pageviews_by_items"), day
-    )
+    """JOB-5: a rerun replaces the day's partition and its export (D-8). Only views of days that are new or changed
+    since the last run are read."""
+    users = store.read("silver.users")
+    if store.catalog:  # its tables have no named partition copies
+        df = segments.user_engagement_segments(users, store.read(VIEWS), day)
+    else:
+        refresh_activity(store)
+        words = store.read(ACTIVITY).filter(F.col("part") != "folded")
+        df = segments.segments_of(users, activity.activity_of_users(words), day)
     write_logged(store, df, "gold.user_engagement_segments", "overwrite")
     return segments.export_segments(store.read("gold.user_engagement_segments"), day, folder)
 

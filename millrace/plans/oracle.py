@@ -280,6 +280,9 @@ STATEMENTS = {
     "user_engagement_segments": """
         SELECT * REPLACE (CAST(days_since_last_active AS VARCHAR) AS days_since_last_active),
           '2024-01-31' AS segment_date FROM labelled""",
+    "segments_from_days": """
+        SELECT * REPLACE (CAST(days_since_last_active AS VARCHAR) AS days_since_last_active),
+          '2024-01-31' AS segment_date FROM labelled""",
     "segments_export": _SEGMENT_COLUMNS,
     "rt_purchases_latest": _LATEST,
     "rt_purchases_stream": _LATEST,

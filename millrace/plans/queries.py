@@ -396,6 +396,23 @@ def segments_job(spark, folder):
     )
 
 
+def segments_from_days(spark, folder):
+    """A-5, J-4, JOB-5 from kept activity: the views of two halves of the month, one day that comes again with half of
+    its views and then whole."""
+    store = Store(spark, scratch_dir(spark, "activity"))
+    store.write(silver_users(spark, folder), "silver.users")
+    views = shop.pageviews_for_segments(spark, folder).withColumns(
+        {c: F.lit(None) for c in ("item_id", "item_name", "item_category", "channel")}
+    )
+    again = F.to_date("received_at") == F.lit(SPLIT_AT).cast("date")
+    late = F.col("received_at") >= F.lit(SPLIT_AT).cast("timestamp")
+    for rows in (views.filter(~late), views.filter(again & (F.col("user_id") % 2 == 0)), views.filter(late)):
+        store.write(rows, "silver.pageviews_by_items", mode="overwrite")
+        jobs.refresh_activity(store)
+    jobs.segment_users(store, AS_OF, scratch_dir(spark, "segments"))
+    return store.read("gold.user_engagement_segments")
+
+
 def _pageview_files(spark: SparkSession, folder: str, target: str) -> None:
     """Pageviews as JSON lines. Error events become cut-off lines, signups a wrong user_id type."""
     good = shop.pageviews(spark, folder).select(F.to_json(F.struct("*")).alias("value"))
@@ -651,6 +668,7 @@ ALL: dict[str, Query] = {
     "incremental_ingest": incremental_ingest,
     "full_run_quality": full_run_quality,
     "segments_job": segments_job,
+    "segments_from_days": _as_text(segments_from_days, "days_since_last_active"),
     "full_run_gold": full_run_gold,
     "rejected_rows": rejected_rows,
     "silver_refreshed_purchases": silver_refreshed_purchases,

@@ -144,6 +144,20 @@ TABLES: dict[str, Table] = {
         ("fact_day",),
         {"fact_day": "concat_ws(' ', fact, day)"},
     ),
+    # The views of each user on a day: the version that the user activity holds, and for a moment the one to come.
+    "silver.day_activity": Table(
+        "user_id BIGINT, day DATE, views BIGINT, version STRING",
+        ("activity_day",),
+        {"activity_day": "coalesce(cast(day AS string), 'none')"},
+    ),
+    # Per user and run of 64 days the active days as bits, and the views. Rows with folded_day name what of a day
+    # they hold: the partition copies it was read from and its version in silver.day_activity.
+    "silver.user_activity": Table(
+        "user_id BIGINT, word BIGINT, days BIGINT, views BIGINT, "
+        "folded_day STRING, folded_from STRING, version STRING",
+        ("part",),
+        {"part": "if(folded_day IS NULL, coalesce(cast(word AS string), 'none'), 'folded')"},
+    ),
     "gold.top_selling_items": Table(
         "item_id BIGINT, item_name STRING, item_category STRING, total_revenue DECIMAL(24,2)"
     ),
