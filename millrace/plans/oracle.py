@@ -343,6 +343,10 @@ STATEMENTS = {
             '","platform":"', platform, '"}') AS _raw_message,
           (SELECT count(*) FROM logins WHERE event_id % 100 <> 7) AS good
         FROM logins WHERE event_id % 100 = 7""",
+    "load_bounds": """
+        SELECT 'users' AS table_name, count(*) AS rows, min(id) AS low, max(id) AS high FROM users
+        UNION ALL SELECT 'items', count(*), min(id), max(id) FROM items
+        UNION ALL SELECT 'purchases', count(*), min(id), max(id) FROM purchases""",
     "quality_report": """
         SELECT 'users' AS table_name, 'id_not_null' AS rule,
           count(*) FILTER (id IS NULL) AS failed, count(*) AS total FROM silver_users

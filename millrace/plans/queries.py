@@ -326,6 +326,17 @@ def incremental_ingest(spark, folder):
     return each[0].unionAll(each[1]).unionAll(each[2])
 
 
+def load_bounds(spark, folder):
+    """A-10: rows and bounds of the ids, from the footers of the source's files."""
+    base = scratch_dir(spark, "bounds")
+    source = ParquetSource(spark, base)
+    found = []
+    for name, rows in (("users", shop.users), ("items", shop.items), ("purchases", shop.purchases)):
+        rows(spark, folder).write.parquet(f"{base}/{name}")
+        found.append(source.bounds(name, "id").select(F.lit(name).alias("table_name"), "rows", "low", "high"))
+    return found[0].unionAll(found[1]).unionAll(found[2])
+
+
 def _refreshed(spark: SparkSession, folder: str) -> Store:
     """Silver made from early purchases and most items, then refreshed for later days and the other items."""
     store = Store(spark, scratch_dir(spark, "refresh"))
@@ -666,6 +677,7 @@ ALL: dict[str, Query] = {
     "quality_report": quality_report,
     "latest_by_key": latest_users,
     "incremental_ingest": incremental_ingest,
+    "load_bounds": load_bounds,
     "full_run_quality": full_run_quality,
     "segments_job": segments_job,
     "segments_from_days": _as_text(segments_from_days, "days_since_last_active"),

@@ -7,6 +7,7 @@ import json
 import random
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -494,6 +495,37 @@ def test_jdbc_text():
     assert relational.filter_text("updated_at", None) == ""
 
 
+@pytest.mark.parametrize("parts", [1, 4, 10])
+def test_ranges_of_a_skewed_key_hold_equally_many_rows(parts):
+    """Two thirds of the ids lie close together, one comes far above; the text runs on a database."""
+    con = duckdb.connect()
+    con.execute("CREATE TABLE src AS SELECT CASE WHEN i < 2000 THEN i ELSE i * i END AS id, i % 2 AS odd FROM range(3000) t(i)")
+    con.execute("INSERT INTO src VALUES (1000000000000000000, 0), (NULL, 0)")
+    rows = con.execute(f"SELECT * FROM {relational.ranges_query('src', 'id', ' WHERE odd = 0', parts)}").fetchall()
+    predicates = relational.range_predicates("id", [high for _, high in rows if high is not None])
+    counts = [con.execute(f"SELECT count(*) FROM src WHERE odd = 0 AND ({p})").fetchone()[0] for p in predicates]
+    assert len(counts) == parts and sum(counts) == 1502 and max(counts) <= 2 * min(counts)
+
+
+def test_range_predicates_take_each_row_once():
+    con = duckdb.connect()
+    con.execute("CREATE TABLE src AS SELECT unnest([NULL, -5, 1, 1, 1, 1, 1, 2, 9, 10]) AS id")
+    for highs in ([], [1], [1, 1, 1, 2], [-5, 1, 1, 9]):
+        counts = [con.execute(f"SELECT count(*) FROM src WHERE {p}").fetchone()[0] for p in relational.range_predicates("id", highs)]
+        assert sum(counts) == 10
+
+
+def test_bounds_come_from_footers(spark, tmp_path):
+    spark.range(10, 90_000).repartition(3).write.parquet(f"{tmp_path}/t")
+    spark.range(0).write.parquet(f"{tmp_path}/empty")
+    source = relational.ParquetSource(spark, str(tmp_path))
+    found = source.bounds("t", "id")
+    assert "PushedAggregation: [COUNT(*), MIN(id), MAX(id)]" in found._jdf.queryExecution().executedPlan().toString()
+    assert tuple(found.first()) == (89_990, 10, 89_999)
+    assert tuple(source.bounds("empty", "id").first()) == (0, None, None)
+    assert "parquet" in spark.conf.get("spark.sql.sources.useV1SourceList")  # this session is as before
+
+
 def test_failed_steps_are_collected(spark, store, tmp_path):
     source = source_tables(spark, str(tmp_path / "src"), [(1, "toys", "1.00", T)])
     with pytest.raises(jobs.StepsFailed, match="users, purchases") as error:
