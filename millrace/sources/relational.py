@@ -32,7 +32,9 @@ class ParquetSource:
 
     def bounds(self, table: str, key: str) -> DataFrame:
         """A-10: (rows, low, high) of a table of whole files."""
-        return footer_bounds(self.spark, f"{self.folder}/{table}", key)
+        found = footer_bounds(self.spark, f"{self.folder}/{table}", key)
+        rows, low, high = found.first()  # without any footer the count is missing too
+        return self.spark.createDataFrame([(rows or 0, low, high)], found.schema)
 
 
 @dataclass(frozen=True)
@@ -113,10 +115,9 @@ def footer_bounds(spark: SparkSession, path: str, key: str) -> DataFrame:
     older = [name for name in own.conf.get("spark.sql.sources.useV1SourceList").split(",") if name != "parquet"]
     own.conf.set("spark.sql.sources.useV1SourceList", ",".join(older))
     own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
-    found = own.read.parquet(path).agg(
+    return own.read.parquet(path).agg(
         F.count("*").alias("rows"), F.min(key).alias("low"), F.max(key).alias("high")
     )
-    return found.withColumn("rows", F.coalesce("rows", F.lit(0).cast("bigint")))  # no footer counts as nothing
 
 
 def last_cursor(
