@@ -30,6 +30,14 @@ def text_key(text: Column) -> Column:
                     F.to_binary(F.lpad(F.hex(low), 16, "0"), F.lit("hex")))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, longer if a column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 SLOTS = 2**20  # hash slots in which keys are looked for before a join; a broadcast of at most so many rows
 
 

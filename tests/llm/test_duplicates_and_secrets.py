@@ -121,6 +121,14 @@ def edit_distance(a, b):
     return row[-1]
 
 
+def short_of(line):
+    return fuzzy_lines.short_keys(line, 0.8) if len(line) * 0.8 <= fuzzy_lines.SHORT else []
+
+
+def further_of(line):
+    return {*short_of(line), *fuzzy_lines.segment_keys(line.encode())}
+
+
 def test_fuzzy_lines(spark, make_text, words):
     rng = random.Random(6)
     lines = [make_text(i, 1, rng.randint(3, 12)) for i in range(25)]
@@ -138,8 +146,9 @@ def test_fuzzy_lines(spark, make_text, words):
         rows.append((i, "\n".join(own)))
     rows += [(50, None), (51, ""), (52, rows[0][1]), (52, rows[0][1]), (None, rows[1][1]), (53, "a\n\na\n")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns(
-        {"n_removed": F.lit("x"), "line": F.lit(1), "node": F.lit("n")}
+        {"n_removed": F.lit("x"), "line": F.lit(1), "node": F.lit("n"), "gone_lines": F.lit(2), "gone_gone": F.lit(3)}
     )
+    docs = docs.withColumns({"gone_doc_id": F.lit(4), "slot": F.lit(5), "id": F.lit(6)})
 
     first, order = {}, sorted(set(rows), key=lambda r: (r[0] is None, r[0] or 0))
     for key, text in order:
@@ -147,12 +156,16 @@ def test_fuzzy_lines(spark, make_text, words):
             if len(line) >= fuzzy_lines.LEAST_WORDS:
                 first.setdefault(b" ".join(line), (key, n))
     nodes = list(first)
-    marks = fuzzy_lines.simhashes([n.split() for n in nodes]).view(np.uint32)
+    hashes = fuzzy_lines.simhashes(nodes, fuzzy_lines.votes())
+    keys = fuzzy_lines.block_keys(hashes)
     links = []
     for i, j in itertools.combinations(range(len(nodes)), 2):
         one, two = nodes[i].decode(), nodes[j].decode()
         most = math.floor(max(len(one), len(two)) * 0.2 + 1e-9)
-        if (marks[i] == marks[j]).any() and edit_distance(one, two) <= most:
+        short = min(len(one), len(two)) <= fuzzy_lines.SHORT
+        far = np.bitwise_count(hashes[i] ^ hashes[j]).sum() > fuzzy_lines.FAR
+        shared = (keys[i] == keys[j]).any() or further_of(one) & further_of(two)
+        if shared and (short or not far) and edit_distance(one, two) <= most:
             links.append((i, j))
     assert links
     root = roots_of(range(len(nodes)), links)  # nodes stand in the order of their first occurrence
@@ -185,13 +198,8 @@ def test_short_lines_are_removed_too(spark):
     assert {r.doc_id: (r.text, r.n_removed) for r in got} == {1: (rows[0][1], 0), 2: ("\n \n===", 3)}
 
 
-def key_sets(texts):
-    keys = fuzzy_lines.gram_keys(texts, 0.8)
-    return [{k[i : i + fuzzy_lines.KEY] for i in range(0, len(k), fuzzy_lines.KEY)} for k in keys]
-
-
-def test_similar_lines_share_a_key(make_text):
-    """Against edit distance alone: short lines always, lines with one changed word of any length."""
+def test_similar_short_lines_share_a_key():
+    """Against edit distance alone."""
     rng = random.Random(8)
     for size in range(1, 33):
         for _ in range(40):
@@ -202,32 +210,64 @@ def test_similar_lines_share_a_key(make_text):
                 two[place : place + rng.randint(0, 1)] = rng.choices("abxyé", k=rng.randint(0, 1))
             two = "".join(two)
             if two and edit_distance(one, two) <= int(max(len(one), len(two)) * 0.2 + 1e-9):
-                assert set.intersection(*key_sets([one, two])), (one, two)
+                assert set(short_of(one)) & set(short_of(two)), (one, two)
+
+
+def test_simhash_against_plain_votes():
+    votes = fuzzy_lines.votes()
+    table = votes.view(np.uint8).astype(int)
+    lines = [b"", b"a", b"a line of some words", "日本語".encode() * 90, b"ab " * 9000]
+    for line, got in zip(lines, fuzzy_lines.simhashes(lines, votes)):
+        padded = b" " + line + b" " * (fuzzy_lines.RUN - 1)
+        sums = np.zeros(fuzzy_lines.BITS, int)
+        for i in range(len(line) + 1):
+            run = int.from_bytes(padded[i : i + fuzzy_lines.RUN], "big")
+            mixed = run * 0x9E3779B97F4A7C15 % 2**64
+            sums += table[(mixed ^ mixed >> 29) >> 48]
+        assert (np.packbits(2 * sums > len(line) + 1) == got).all(), line[:20]
+
+
+def test_lines_with_a_changed_word_share_a_key(make_text):
+    rng = random.Random(8)
     pairs = []
     for i in range(300):
         own = make_text(i, 1, rng.randint(5, 60)).lower().split()
         k = rng.randrange(len(own))
         pairs.append((" ".join(own), " ".join([*own[:k], own[k] + "x", *own[k + 1 :]])))
     pairs = [p for p in pairs if edit_distance(*p) <= int(max(map(len, p)) * 0.2)]
-    found = key_sets([t for p in pairs for t in p])
-    assert len(pairs) > 250 and sum(bool(a & b) for a, b in zip(found[::2], found[1::2])) >= 0.99 * len(pairs)
+    hashes = fuzzy_lines.simhashes([t.encode() for p in pairs for t in p], fuzzy_lines.votes())
+    keys = fuzzy_lines.block_keys(hashes)
+    found = [(x == y).any() or bool(further_of(a) & further_of(b)) for x, y, (a, b) in zip(keys[::2], keys[1::2], pairs)]
+    assert len(pairs) > 250 and np.mean(found) >= 0.99
+
+
+def test_shared_entries_of_many_chunks():
+    rng = np.random.default_rng(4)
+    keys, ids = rng.integers(0, 300, 700).astype(np.uint32), np.arange(700)
+    keys[100:600:2] = 7  # a hot key
+    cuts = [0, 1, 90, 350, 351, 700]
+    found = list(fuzzy_lines.shared_entries((keys[a:b], ids[a:b]) for a, b in zip(cuts, cuts[1:])))
+    got = Counter((int(k), int(i)) for a, b in found for k, i in zip(a, b))
+    times = Counter(keys.tolist())
+    assert got == Counter((int(k), int(i)) for k, i in zip(keys, ids) if times[int(k)] > 1)
 
 
 def test_lines_with_a_changed_word_are_removed(spark):
     first = "the quick brown fox jumps over the lazy dog near the river\nshort one here\n日本語の長い行です"
     second = "the quick brown foxx jumps over the lazy dog near the river\nshort one hera\n日本語の長い行だす"
     docs = spark.createDataFrame([(1, first), (2, second + "\nown")], "doc_id long, text string")
-    got = fuzzy_lines.without_repeats(docs, by_grams=True).collect()
+    got = fuzzy_lines.without_repeats(docs).collect()
     assert {r.doc_id: (r.text, r.n_removed) for r in got} == {1: (first, 0), 2: ("own", 3)}
 
 
-def test_close_simhashes_share_a_block():
+def test_close_simhashes_share_blocks():
     rng = np.random.default_rng(1)
     for _ in range(200):
         one = rng.integers(0, 256, 16).astype(np.uint8)
         bits = np.unpackbits(one)
-        bits[rng.choice(128, 3, replace=False)] ^= 1
-        assert (one.view(np.uint32) == np.packbits(bits).view(np.uint32)).any()
+        bits[rng.choice(128, fuzzy_lines.NEAR, replace=False)] ^= 1
+        keys = fuzzy_lines.block_keys(np.stack([one, np.packbits(bits)]))
+        assert (keys[0] == keys[1]).any()
 
 
 SECRETS = [
