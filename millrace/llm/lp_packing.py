@@ -1,11 +1,12 @@
 """Packing of documents into sequences by a configuration linear program.
 
 A configuration says how many pieces of each length share a sequence. The program asks for the fewest
-sequences that cover the histogram of lengths. Its prices are multiplicative weights: a length that is
-left over more than the rest becomes dearer, and dynamic programming over the capacity finds, for each
-longest piece, the configuration of highest price. Configurations are used in whole sequences until half
-of their scarcest length is gone, so the solution is rounded as it grows; the short rest goes into the
-best-fitting gaps.
+sequences, in fractions, that cover the histogram of lengths. Its prices are multiplicative weights: in each
+round dynamic programming over the capacity finds the dearest configurations, these get the sequences of a
+whole plan, and a length that is covered too little becomes dearer, one that is covered too much cheaper. The
+plans' average is the fractional solution; every round's prices bound the program from below (duality).
+Rounded down, the average leaves a rest, which goes to whole configurations chosen greedily and then into the
+best-fitting gaps. The greedy plan of all pieces is kept instead if it needs no more sequences.
 
 Only the histogram, at most one row per length, is on the driver. The pieces are numbered within their
 length by distributed counts and find their place by number, so no task holds a length's pieces.
@@ -13,6 +14,7 @@ length by distributed counts and find their place by number, so no task holds a
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -26,8 +28,12 @@ from millrace.llm.common import cut, pieces, shuffle_partitions
 from millrace.llm.word_ids import encoder
 
 CAPACITY = 2048
+ROUNDS = 150  # of the fractional solution
+STEP = 0.4  # how fast its prices move at first
 RATE = 0.02  # how fast the weight of a length that lags behind grows
 LENGTHENED = 0.05  # how much dearer than its share of the capacity a long piece starts, being harder to place
+PARTS = (1.0, 0.97, 0.9, 0.75)  # of the fractional solution that are rounded down, the best plan is kept
+NEARLY = 0.01  # by how much a configuration may cost less than the dearest
 REST = 16  # sequences' worth of pieces that are left to the best-fit step
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -87,8 +93,112 @@ def best_fit(left: dict[int, int], gaps: dict[Configuration, int], capacity: int
     return {c: n for held in by_room.values() for c, n in held.items()}
 
 
+def fractional(
+    histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS
+) -> tuple[dict[Configuration, float], float]:
+    """Fractions of sequences per configuration that about cover ``histogram``, and a lower bound: no plan, whole or
+    in fractions, has fewer sequences."""
+    lengths = np.array(sorted(n for n, k in histogram.items() if k), np.int64)
+    if not len(lengths):
+        return {}, 0.0
+    wanted = np.array([histogram[int(n)] for n in lengths], float)
+    place = {int(n): i for i, n in enumerate(lengths)}
+    prices = lengths / capacity
+    bound = float(lengths @ wanted) / capacity
+    total: Counter[Configuration] = Counter()
+    counted = 0
+    for number in range(rounds):
+        best, choice = price_table(lengths, prices, capacity)
+        dearest = float(best[capacity])
+        bound = max(bound, float(prices @ wanted) / dearest)
+        plan = _priced_plan(lengths, prices, choice, wanted, dearest, bound, capacity)
+        covered = np.zeros(len(lengths))
+        for configuration, times in plan.items():
+            for n, k in configuration:
+                covered[place[n]] += k * times
+        if number >= rounds // 3:  # the first prices are far off
+            counted += 1
+            for configuration, times in plan.items():
+                total[configuration] += times
+        step = STEP / math.sqrt(1 + number)
+        prices = prices * np.exp(-step * np.clip(covered / wanted - 1, -1, 1))
+        prices /= prices.max()
+    return {c: x / counted for c, x in total.items()}, bound
+
+
+def _priced_plan(
+    lengths: np.ndarray, prices: np.ndarray, choice: np.ndarray, wanted: np.ndarray, dearest: float, sequences: float, capacity: int
+) -> dict[Configuration, float]:
+    """``sequences`` in fractions, of configurations that cost nearly as much as the dearest; one of each longest
+    piece, used until a length of it is covered, then the dearest of all."""
+    place = {int(n): i for i, n in enumerate(lengths)}
+    left, free = wanted.copy(), sequences
+    plan: Counter[Configuration] = Counter()
+    for longest in [0, *lengths[::-1].tolist()]:  # 0: the dearest of all
+        taken, room, cost = Counter(), capacity - longest, 0.0
+        if longest:
+            taken[longest], cost = 1, float(prices[place[longest]])
+        while room > 0 and choice[room]:
+            n = int(choice[room])
+            taken[n] += 1
+            cost += float(prices[place[n]])
+            room -= n
+        if cost < (1 - NEARLY) * dearest:
+            continue
+        configuration = tuple(sorted(taken.items(), reverse=True))
+        if not longest:
+            first = configuration
+        times = min(free, *(left[place[n]] / k for n, k in configuration))
+        if times > 0:
+            plan[configuration] += times
+            free -= times
+            for n, k in configuration:
+                left[place[n]] -= k * times
+    if free > 0:
+        plan[first] += free
+    return plan
+
+
 def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[Configuration, int]:
-    """Sequences of each configuration that together hold exactly the pieces of ``histogram``."""
+    """Sequences of each configuration that together hold exactly the pieces of ``histogram``: the fractional
+    solution rounded down with its rest packed greedily, or all packed greedily if that needs no more. The lower
+    bound ends the search."""
+    shares, bound = fractional(histogram, capacity)
+    best = greedy(histogram, capacity)
+    for part in PARTS:
+        if sum(best.values()) <= math.ceil(bound - 1e-6):
+            break
+        plan = _rounded(shares, part, histogram, capacity)
+        if sum(plan.values()) < sum(best.values()):
+            best = plan
+    return best
+
+
+def _rounded(
+    shares: dict[Configuration, float], part: float, histogram: dict[int, int], capacity: int
+) -> dict[Configuration, int]:
+    """``part`` of the fractional solution rounded down, and the rest."""
+    left = dict(histogram)
+    used: Counter[Configuration] = Counter()
+    for configuration, share in sorted(shares.items(), key=lambda x: (-x[1], x[0])):
+        times = min(math.floor(part * share + 1e-9), *(left[n] // k for n, k in configuration))
+        if times > 0:
+            used[configuration] += times
+            for n, k in configuration:
+                left[n] -= k * times
+    # sequences with room take part in the best-fit step of the rest
+    full = Counter({c: n for c, n in used.items() if sum(a * b for a, b in c) == capacity})
+    rest = {n: k for n, k in left.items() if k}
+    ends = (greedy(rest, capacity, used - full), best_fit(rest, used - full, capacity))
+    full.update(min(ends, key=lambda plan: sum(plan.values())))
+    return dict(full)
+
+
+def greedy(
+    histogram: dict[int, int], capacity: int = CAPACITY, gaps: dict[Configuration, int] | None = None
+) -> dict[Configuration, int]:
+    """Sequences of each configuration, those of ``gaps`` and their room included, that together hold
+    ``gaps`` and the pieces of ``histogram``; whole configurations by prices that follow what is left."""
     used: Counter[Configuration] = Counter()
     if histogram.get(capacity):
         used[((capacity, 1),)] = histogram[capacity]
@@ -121,6 +231,7 @@ def solve(histogram: dict[int, int], capacity: int = CAPACITY) -> dict[Configura
         if before - volume < 0.02 * before:
             gap = 2 * gap + 1
     rest = {n: k for n, k in left.items() if k}
+    used.update(gaps or {})
     open_ones = {c: n for c, n in used.items() if sum(a * b for a, b in c) < capacity}
     filled = Counter({c: n for c, n in used.items() if c not in open_ones})
     filled.update(best_fit(rest, open_ones, capacity))

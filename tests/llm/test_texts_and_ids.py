@@ -136,6 +136,20 @@ def test_packing_plan(capacity):
     assert lp_packing.solve({}, capacity) == {}
 
 
+@pytest.mark.parametrize(
+    "histogram, known", [({1100: 5000, 300: 5000, 649: 2000}, 5000), ({900: 3000, 600: 4000, 500: 3000, 448: 1000}, 3556)]
+)
+def test_packing_near_the_bound(histogram, known):
+    """``known``: a plan by hand, which no lower bound may exceed."""
+    shares, bound = lp_packing.fractional(histogram)
+    needed = sum(lp_packing.solve(histogram).values())
+    assert sum(n * k for n, k in histogram.items()) / 2048 <= bound <= known
+    assert bound <= needed <= bound * 1.015
+    for length, wanted in histogram.items():
+        covered = sum(x * times for c, x in shares.items() for n, times in c if n == length)
+        assert covered == pytest.approx(wanted, rel=0.05)
+
+
 def test_packing(docs, nothing, corpus):
     rows = lp_packing.pack(docs, BYTES, capacity=256).collect()
     encode = library(BYTES).encode
