@@ -121,7 +121,7 @@ def fractional(
             for configuration, times in plan.items():
                 total[configuration] += times
         step = STEP / math.sqrt(1 + number)
-        prices = prices * np.exp(-step * np.clip(covered / wanted - 1, -1, 1))
+        prices = prices * np.exp(-step * np.clip(covered / wanted - 1, -1, 3))
         prices /= prices.max()
     return {c: x / counted for c, x in total.items()}, bound
 
