@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -252,6 +253,46 @@ def test_shared_entries_of_many_chunks():
     assert got == Counter((int(k), int(i)) for k, i in zip(keys, ids) if times[int(k)] > 1)
 
 
+def test_many_comparisons_side_by_side(monkeypatch):
+    rng = random.Random(12)
+    pairs, most = [], []
+    for _ in range(600):
+        one = "".join(rng.choice("abcdé 😀") for _ in range(rng.choice([0, 1, 2, 7, 30, 70])))
+        two = list(one)
+        for _ in range(rng.randint(0, len(one) // 2 + 1)):
+            k = rng.randrange(len(two) + 1)
+            two[k : k + rng.randint(0, 1)] = rng.choice(["", "a", "x"])
+        pairs.append((one, "".join(two)))
+        most.append(rng.choice([0, 1, max(map(len, pairs[-1])) // 5]))
+    sides = [[fuzzy_lines.Line(t) for t in side] for side in zip(*pairs)]
+    want = [edit_distance(*pair) <= k for pair, k in zip(pairs, most)]
+    assert 50 < sum(want) < 550
+    for cells in (fuzzy_lines.CELLS, 100):
+        monkeypatch.setattr(fuzzy_lines, "CELLS", cells)
+        assert fuzzy_lines.within_many(*sides, np.array(most)).tolist() == want
+
+
+@pytest.mark.parametrize("waiting", [1, 10_000])
+def test_groups_of_copies_are_linked_once(monkeypatch, waiting):
+    """Two groups of twenty, alike, and one apart: a link, not one per line; each pair of outside lines once."""
+    monkeypatch.setattr(fuzzy_lines, "WAITING", waiting)
+    compared = []
+    many = fuzzy_lines.within_many
+    monkeypatch.setattr(fuzzy_lines, "within_many", lambda a, b, m: compared.append(len(a)) or many(a, b, m))
+    words = "the same forty words stand in all of these lines but for one number at the end "
+    texts = {0: words + "a%d", 1: words + "b%d", 2: words[::-1] + "c%d"}
+    rows = [
+        {"id": 100 * g + n, "family": 0, "c": 0, "o": 0, "outside": side, "root": 100 * g, "plain": text % n}
+        for g, text in texts.items()
+        for n in range(20)
+        for side in ([False, True] if g else [False])
+    ]
+    batch = pa.RecordBatch.from_pylist(rows)
+    found = [(a // 100, b // 100) for out in fuzzy_lines._alike_in_blocks(0.8)(iter([batch])) for a, b in zip(*out.to_pydict().values())]
+    assert [set(link) for link in found] == [{0, 1}]
+    assert sum(compared) == (40 + 19 * 20 + 20 * 20 if waiting == 1 else 3 * 20 * 20)
+
+
 def test_lines_with_a_changed_word_are_removed(spark):
     first = "the quick brown fox jumps over the lazy dog near the river\nshort one here\n日本語の長い行です"
     second = "the quick brown foxx jumps over the lazy dog near the river\nshort one hera\n日本語の長い行だす"
