@@ -293,6 +293,59 @@ def test_groups_of_copies_are_linked_once(monkeypatch, waiting):
     assert sum(compared) == (40 + 19 * 20 + 20 * 20 if waiting == 1 else 3 * 20 * 20)
 
 
+def test_lines_of_several_families_are_compared_once(monkeypatch):
+    """Three lines apart that meet in two families: each pair counts in the first one that both are in."""
+    compared = []
+    many = fuzzy_lines.within_many
+    monkeypatch.setattr(fuzzy_lines, "within_many", lambda a, b, m: compared.extend(zip(a, b)) or many(a, b, m))
+    texts = {1: "abcdefghij" * 5, 2: "bacdefgjih" * 5, 3: "acbdefgijh" * 5}
+    member = {1: [8, 9], 2: [8, 9], 3: [9]}
+    rows = [
+        {"id": i, "family": f, "c": 0, "o": 0, "outside": side, "root": i, "plain": texts[i], "families": member[i]}
+        for f in (8, 9)
+        for i in texts
+        if f in member[i]
+        for side in (False, True)
+    ]
+    assert not list(fuzzy_lines._alike_in_blocks(0.8)(iter([pa.RecordBatch.from_pylist(rows)])))
+    got = Counter(tuple(sorted(x.text for x in pair)) for pair in compared)
+    assert got == Counter(tuple(sorted(pair)) for pair in itertools.combinations(texts.values(), 2))
+
+
+@pytest.mark.parametrize("words", [1, 8])
+def test_long_lines_side_by_side(monkeypatch, words):
+    """Lines of several machine words, in either order, against edit distance."""
+    rng = random.Random(2)
+    monkeypatch.setattr(fuzzy_lines, "WORDS", words)
+    monkeypatch.setattr(fuzzy_lines, "TABLE", 3000)  # tables are split
+    pairs = []
+    for k in range(60):
+        one = "".join(rng.choices("abcd é" if k % 3 else "ab😀日本語", k=rng.choice([90, 150, 330])))
+        two = list(one)
+        for _ in range(rng.randint(0, len(one) // 3)):
+            place = rng.randrange(len(two))
+            two[place : place + rng.randint(0, 1)] = rng.choice(["", "a", "\uffff"])
+        pairs.append((one, "".join(two)) if k % 2 else ("".join(two), one))
+    sides = [[fuzzy_lines.Line(t) for t in side] for side in zip(*pairs)]
+    most = np.array([fuzzy_lines.allowed(a, b, 0.8) for a, b in zip(*sides)])
+    want = [edit_distance(*pair) <= k for pair, k in zip(pairs, most)]
+    assert 10 < sum(want) < 55
+    assert fuzzy_lines.within_many(*sides, most).tolist() == want
+
+
+def test_segments_of_many_lines(make_text):
+    """A line's codes do not depend on the lines hashed with it; each stands for one text of the line."""
+    lines = [b" ".join(w) for i in range(9) for w in fuzzy_lines.normal_lines(make_text(i, 6, 4 * i + 1)) if w]
+    owner, codes = fuzzy_lines.segment_codes(lines)
+    own = [set(codes[owner == i].tolist()) for i in range(len(lines))]
+    assert own == [set(fuzzy_lines.segment_codes([line])[1].tolist()) for line in lines]
+    assert sum(map(len, own)) == len(codes) > 100
+    for line in lines:  # a changed end leaves the segments before
+        if len(line) > 120:
+            left = set(fuzzy_lines.segment_keys(line)) & set(fuzzy_lines.segment_keys(line[:-9] + b"xyxyxyxyx"))
+            assert left and len(left) < len(fuzzy_lines.segment_keys(line))
+
+
 def test_lines_with_a_changed_word_are_removed(spark):
     first = "the quick brown fox jumps over the lazy dog near the river\nshort one here\n日本語の長い行です"
     second = "the quick brown foxx jumps over the lazy dog near the river\nshort one hera\n日本語の長い行だす"
