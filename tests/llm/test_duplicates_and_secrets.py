@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -15,7 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from millrace.llm import bbit_minhash, byte_cnn, fuzzy_lines, groups, norm_search, trigram_scan
+from millrace.llm import bbit_minhash, byte_cnn, common, fuzzy_lines, groups, norm_search, trigram_scan
 
 
 def roots_of(ids, links):
@@ -293,6 +294,26 @@ def test_groups_of_copies_are_linked_once(monkeypatch, waiting):
     assert sum(compared) == (40 + 19 * 20 + 20 * 20 if waiting == 1 else 3 * 20 * 20)
 
 
+def test_shuffle_files_go_with_their_job(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = disk.getAllBlocks()
+        names = (found.apply(k).name() for k in range(found.size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    common.cut(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "test")
+    before = shuffles()
+    assert before
+    rows = common.cut_and_freed(spark.range(1000).groupBy((F.col("id") % 5).alias("k")).count(), "test")
+    for _ in range(40):
+        if not before & shuffles():
+            break
+        time.sleep(0.5)
+    assert not before & shuffles()
+    assert rows.count() == 5
+
+
 def test_lines_of_several_families_are_compared_once(monkeypatch):
     """Three lines apart that meet in two families: each pair counts in the first one that both are in."""
     compared = []
